@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from talweg.llm import fingerprints, line_dedup, quality_rules
+from talweg.llm import chat_format, fingerprints, line_dedup, packing, quality_rules, toxicity, warc_zip
 
 QUERIES = {
+    "op1_chat_format": chat_format.query,
     "op4_quality_rules": quality_rules.query,
+    "op5_warc_zip": warc_zip.query,
     "op6_fingerprints": fingerprints.query,
+    "op7_packing": packing.query,
     "op9_line_dedup": line_dedup.query,
+    "op10_toxicity": toxicity.query,
 }
 ORACLE_SQL = {
+    "op1_chat_format": chat_format.sql(),
     "op4_quality_rules": quality_rules.sql(),
+    "op5_warc_zip": warc_zip.sql(),
     "op9_line_dedup": line_dedup.sql(),
 }
