@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from talweg.llm import chat_format, fingerprints, line_dedup, packing, quality_rules, toxicity, warc_zip
+from talweg.llm import chat_format, fingerprints, line_dedup, lm_score, packing, quality_rules, toxicity, warc_zip
 
 QUERIES = {
     "op1_chat_format": chat_format.query,
+    "op2_lm_score": lm_score.query,
     "op4_quality_rules": quality_rules.query,
     "op5_warc_zip": warc_zip.query,
     "op6_fingerprints": fingerprints.query,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 ORACLE_SQL = {
     "op1_chat_format": chat_format.sql(),
+    "op2_lm_score": lm_score.sql(),
     "op4_quality_rules": quality_rules.sql(),
     "op5_warc_zip": warc_zip.sql(),
     "op9_line_dedup": line_dedup.sql(),
