@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from talweg.llm import chat_format, fingerprints, line_dedup, lm_score, packing, quality_rules, toxicity, warc_zip
+from talweg.llm import chat_format, fingerprints, jaccard_join, line_dedup, lm_score, packing, quality_rules, toxicity, warc_zip
 
 QUERIES = {
     "op1_chat_format": chat_format.query,
     "op2_lm_score": lm_score.query,
+    "op3_jaccard_join": jaccard_join.query,
     "op4_quality_rules": quality_rules.query,
     "op5_warc_zip": warc_zip.query,
     "op6_fingerprints": fingerprints.query,
