@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from talweg.llm import chat_format, fingerprints, jaccard_join, line_dedup, lm_score, packing, quality_rules, toxicity, warc_zip
+from talweg.llm import byte_bpe, chat_format, fingerprints, jaccard_join, line_dedup, lm_score, packing, quality_rules, toxicity, warc_zip
 
 QUERIES = {
     "op1_chat_format": chat_format.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_warc_zip": warc_zip.query,
     "op6_fingerprints": fingerprints.query,
     "op7_packing": packing.query,
+    "op8_byte_bpe": byte_bpe.query,
     "op9_line_dedup": line_dedup.query,
     "op10_toxicity": toxicity.query,
 }
