@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from talweg.llm import byte_bpe, chat_format, fingerprints, jaccard_join, line_dedup, lm_score, packing, quality_rules, toxicity, warc_zip
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_byte_bpe": byte_bpe.query,
     "op9_line_dedup": line_dedup.query,
     "op10_toxicity": toxicity.query,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {
     "op1_chat_format": chat_format.sql(),
