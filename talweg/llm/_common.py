@@ -82,6 +82,15 @@ def window_hashes(w: str, size: int = 5) -> Column:
     )
 
 
+def filter_settled(df: DataFrame, condition: Column) -> DataFrame:
+    """df.filter(condition), evaluated on df's columns as they are.
+
+    The optimiser would move a plain filter below the projections that made those columns and write their expressions out
+    in it; arrays that a lambda reads would then be built anew for every element. It moves none below a row number.
+    """
+    return df.withColumn("__at", F.monotonically_increasing_id()).filter(condition & (F.col("__at") >= 0)).drop("__at")
+
+
 def lookup_join(df: DataFrame, small: DataFrame, key: str, rows: int, salts: int = 64) -> DataFrame:
     """Left join of df with a table that has one row per key, of which there are `rows`.
 

@@ -120,7 +120,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose the lines; a document that was nothing but such lines goes."""
     done = dedup_lines(docs).withColumn("text", F.when((F.col("n_dropped") > 0) | F.col("text").isNotNull(), F.col("kept_text")))
     kept = (F.col("n_dropped") == 0) | F.col("text").rlike(f"[^{c.SPACE}]")
-    return done.filter(kept).withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
+    return c.filter_settled(done, kept).withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
 def sql(source: str = "documents") -> str:

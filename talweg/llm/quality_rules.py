@@ -111,7 +111,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return host_rules(docs).filter("kept").select(docs.columns)
+    return c.filter_settled(host_rules(docs), F.col("kept")).select(docs.columns)
 
 
 def sql(source: str = "documents") -> str:
