@@ -69,13 +69,16 @@ def previous_ids(ids: DataFrame) -> DataFrame:
 
 def edited_pairs(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, text, sketch, edited, edited_sketch, next_sketch): each text, and the text whose last half is replaced by the head of the next document (ids descending)."""
-    base = with_sketch(df.select(F.col(id_col).alias("id"), c.text_or_empty(text).alias("t")), "t", "sketch")
+    rows = df.select(F.col(id_col).alias("id"), c.text_or_empty(text).alias("t"))
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = base.repartition(n, "id")  # one shuffle of the texts serves both sides below
-    links = previous_ids(df.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.char_length(c.text_or_empty(text))).alias("n")))
-    heads = base.filter("id IS NOT NULL").groupBy("id").agg(F.min(F.struct("t", "sketch")).alias("x")).join(links.hint("merge"), "id")
+    # One shuffle of the texts serves both sides of the join: ids are filtered before it, or a filter pushed to one side would make two.
+    base = with_sketch(rows.filter("id IS NOT NULL"), "t", "sketch").repartition(n, "id")
+    links = previous_ids(rows.filter("id IS NOT NULL").groupBy("id").agg(F.max(F.char_length("t")).alias("n")))
+    heads = base.groupBy("id").agg(F.min(F.struct("t", "sketch")).alias("x")).join(links.hint("merge"), "id")
     heads = heads.select(F.col("prev_id").alias("id"), F.expr("substring(x.t, 1, CAST(prev_n DIV 2 AS int))").alias("head"), F.col("x.sketch").alias("next_sketch"))
-    both = base.join(heads.hint("merge"), "id", "left").withColumn("half", F.expr("char_length(t) DIV 2").cast("int"))
+    both = base.join(heads.hint("merge"), "id", "left")
+    both = both.unionByName(with_sketch(rows.filter("id IS NULL"), "t", "sketch"), allowMissingColumns=True)
+    both = both.withColumn("half", F.expr("char_length(t) DIV 2").cast("int"))
     edited = F.concat(F.expr("substring(t, 1, char_length(t) - half)"), F.coalesce(F.expr("substring(head, 1, half)"), F.lit("")))
     return with_sketch(both.withColumn("edited", edited), "edited", "edited_sketch").drop("half", "head")
 
