@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from talweg.plans import models, spatial
+
+_PLANS = (models, spatial)
+QUERIES = {name: query for plan in _PLANS for name, query in plan.QUERIES.items()}
+ORACLE_SQL = {name: sql for plan in _PLANS for name, sql in plan.ORACLE_SQL.items()}
 FLAGSHIP = "freight_unit_cost"
