@@ -1,7 +1,7 @@
 """WARC archives packaged in ZIP files: a writer, and a reader that extracts nothing.
 
-A package is a ZIP file with two stored members: archive/data.warc and indexes/index.cdxj (one JSON line per record: its
-page id, offset in the member and length). The reader parses the end-of-central-directory record, the ZIP64 locator and
+A package is a ZIP file with two stored members: archive/data.warc.gz, every record compressed by itself as is usual for
+archives on the web, and indexes/index.cdxj (one JSON line per record: its page id, offset in the member and length). The reader parses the end-of-central-directory record, the ZIP64 locator and
 record, and the central directory with its ZIP64 extra fields, finds where the stored members lie in the file, reads the
 index, and then reads records by byte range. Ranges, not files, are dealt out to tasks, so one large package is read by
 many.
@@ -16,6 +16,7 @@ empty table gives no package and no rows; other columns are not archived.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import io
 import json
@@ -36,13 +37,14 @@ MIN_REVISIT = 1000
 PACKAGE_BYTES, RANGE_BYTES = 16 << 20, 1 << 20
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-WARC, INDEX = "archive/data.warc", "indexes/index.cdxj"
+WARC, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+LEVEL = 3
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
 
 
 # --- records -----------------------------------------------------------------------------------------------------------
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
-    """One WARC record; with refers_to a revisit, whose block has no payload."""
+    """One compressed WARC record; with refers_to a revisit, whose block has no payload."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
     name = lambda x: f"<urn:page:{'' if x is None else x}>"
@@ -57,12 +59,13 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     }
     if refers_to is not None:
         head |= {"WARC-Refers-To": name(refers_to), "WARC-Profile": PROFILE}
-    return b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
+    plain = b"WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
+    return gzip.compress(plain, LEVEL, mtime=0)
 
 
 def parse_record(raw: bytes) -> tuple:
     """A row of RECORDS; a response's payload is checked against its digest."""
-    top, _, rest = raw.partition(b"\r\n\r\n")
+    top, _, rest = gzip.decompress(raw).partition(b"\r\n\r\n")
     lines = top.decode().split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError("not at a record")
