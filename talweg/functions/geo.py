@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 # The WGS 84 ellipsoid, and the parameters of the national Lambert conformal conic projection (EPSG:7755).
 A, FLATTENING = 6378137.0, 1 / 298.257223563
@@ -117,7 +118,7 @@ def geodesic_m(lon1, lat1, lon2, lat2) -> np.ndarray:
     return np.where(done & np.isfinite(found), found, sphere)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def geodesic_km(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series) -> pd.Series:
     return pd.Series(geodesic_m(lon1, lat1, lon2, lat2) / 1000)
 

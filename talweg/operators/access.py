@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from talweg.functions.values import half_up
+
 # Sliver bound, two-way overlap that counts as unchanged, weight of the area share, headroom over a parent's total.
 SLIVER, UNCHANGED, AREA_WEIGHT, HEADROOM = 0.02, 0.97, 0.5, 1.02
 
@@ -14,7 +16,7 @@ def district_summary(base: DataFrame, keys: list[str], distances: dict[str, str]
     """Per group: rows, and of each distance the median, the mean (two decimals) and the percentage within each threshold. A missing distance is not within."""
     out = [F.count("*").alias("villages")]
     for name, column in distances.items():
-        out += [F.median(column).alias(f"{name}_median_km"), F.round(F.avg(column), 2).alias(f"{name}_mean_km")]
+        out += [F.median(column).alias(f"{name}_median_km"), half_up(F.round(F.sum(column), 6) / F.count(column), 2).alias(f"{name}_mean_km")]
         out += [F.round(F.avg(F.when(F.col(column) <= x, 1.0).otherwise(0.0)) * 100, 4).alias(f"{name}_within_{x:g}km_pct") for x in thresholds]
     return base.groupBy(*keys).agg(*out)
 

@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from talweg.functions.geometry import decode_wkb
 
@@ -80,7 +80,7 @@ def polygon_rings(coordinates: Column) -> Column:
     return F.transform(F.from_json(coordinates, "array<array<array<double>>>"), lambda r: F.transform(r, lambda p: F.struct(F.get(p, 0).alias("x"), F.get(p, 1).alias("y"))))
 
 
-@F.udf("struct<kind:string,coordinates:string>", useArrow=True)
+@F.udf(StructType([StructField("kind", StringType()), StructField("coordinates", StringType())]), useArrow=True)
 def wkb_geometry(raw: bytes) -> tuple[str, str] | None:
     """Kind and JSON coordinates of well-known binary; broken or missing geometry is null."""
     try:
