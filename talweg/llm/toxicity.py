@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 
 from talweg.llm import _common as c
 
-SAMPLE_ROWS, MAX_FEATURES, MIN_COUNT = 12_000, 6_000, 4
+SAMPLE_ROWS, MAX_FEATURES, MIN_COUNT = 12_000, 6_000, 3
+#: Standard errors by which a feature's rates in the two classes must differ.
+MIN_Z = 3.0
 THRESHOLD = 0.7
 #: Weights of the counterfactual and of the squared coefficients in the loss.
 COUNTERFACTUAL, RIDGE = 1.0, 1e-3
@@ -135,8 +137,11 @@ def select_features(sample: DataFrame, limit: int = MAX_FEATURES) -> list[str]:
     counts = sample.mapInPandas(count, "feature string, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     rate = lambda k, n: (k + 0.5) / F.lit(n + 1.0)
     lift = F.log(rate(F.col("n1"), all1) / rate(F.col("n0"), all0))
+    share = (F.col("n0") + F.col("n1")) / F.lit(float(all0 + all1))
+    error = F.sqrt(share * (1 - share) * F.lit(1 / all0 + 1 / all1))
+    differs = F.col("n1") / F.lit(float(all1)) - F.col("n0") / F.lit(float(all0)) >= MIN_Z * error
     gain = lift * (F.col("n1") / F.lit(float(all1)) - F.col("n0") / F.lit(float(all0)))
-    best = counts.filter((F.col("n0") + F.col("n1") >= MIN_COUNT) & (lift > 0)).select("feature", F.round(gain, 9).alias("gain")).orderBy(F.desc("gain"), "feature").limit(limit)
+    best = counts.filter((F.col("n0") + F.col("n1") >= MIN_COUNT) & (lift > 0) & differs).select("feature", F.round(gain, 9).alias("gain")).orderBy(F.desc("gain"), "feature").limit(limit)
     return [r[0] for r in best.collect()]
 
 
