@@ -9,10 +9,12 @@ order, and if sizes and positions leave room for enough shared tokens. Only then
     64-bit class there. Each range counts in how many classes a shingle occurs and drops those with one.
 2.  By class, the remaining shingles are ordered; prefixes are posted. A class whose prefix holds shingles of its own only
     has no partner and is done. Most are.
-3.  Cheap links first: in each posting list, each class is compared with one center. Classes found linked need not be
+3.  Cheap links first: in each posting list, each class is compared with a center, in later rounds with several others. Classes found linked need not be
     compared again, so that a group of thousands of near copies costs as many comparisons as it has members.
-4.  Then every pair in a common list that is not yet connected is a candidate under that order, and what all orders agree
-    on is verified. No cap is set on lists, partners or candidates.
+4.  Then every pair in a common list of the first order that is not yet connected is a candidate, unless a lower bound of
+    the sets' difference rules it out (shingles of their own, and the bits in which 512-bit maps of the others differ).
+    Its prefixes under the other orders must meet as well; what is left is verified. No cap is set on lists, partners or
+    candidates.
 
 Links between different texts are kept in full up to connectivity: two texts have the same component if and only if a
 chain of similar pairs leads from one to the other. (Up to collisions of 64-bit hashes, of which fewer than one is
@@ -39,6 +41,8 @@ from talweg.llm import _common as c
 from talweg.llm.components import components
 
 SIZE, PERCENT, ORDERS = 5, 75, 3
+#: Centers of each posting list, in each round of cheap links.
+CENTERS = (1, 8)
 #: Bytes of text whose shingles share a range, and that a task packs at once.
 RANGE_BYTES, FLUSH_BYTES = 20 << 20, 12 << 20
 
@@ -138,14 +142,22 @@ def _count(parts: int):
     return count
 
 
-PREFIXED = "doc_id long, text_class long, n long, part int, token long, pos int, tokens array<long>"
+BITS = 512
+PREFIXED = "doc_id long, text_class long, n long, part int, token long, pos int, tokens array<long>, bits array<long>"
+
+
+def bit_map(keys: np.ndarray) -> np.ndarray:
+    """The tokens' places among BITS, as 64-bit numbers."""
+    bits = np.zeros(BITS, np.uint8)
+    bits[(blobs.mix(keys + np.uint64(101)) % np.uint64(BITS)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
 
 
 def _prefix(orders: int, percent: int):
     """By bucket of classes: rows of documents (doc_id, class, n), prefix postings (order, token, class, n, pos) and sets (class, n, tokens)."""
 
     def prefix(key: tuple, pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        empty = dict.fromkeys(("doc_id", "text_class", "n", "part", "token", "pos", "tokens"))
+        empty = dict.fromkeys(("doc_id", "text_class", "n", "part", "token", "pos", "tokens", "bits"))
         table = np.frombuffer(b"".join(x for x in pdf["rows"] if x is not None), np.int64).reshape(-1, 3)
         docs = pd.DataFrame(empty, index=range(len(table)))
         docs[["doc_id", "text_class", "n"]] = table
@@ -176,7 +188,7 @@ def _prefix(orders: int, percent: int):
         if posts:
             count = [len(x[3]) for x in posts]
             yield pd.DataFrame(empty | {"text_class": np.repeat([x[0] for x in posts], count), "n": np.repeat([x[1] for x in posts], count), "part": np.repeat([x[2] for x in posts], count), "token": np.concatenate([x[3] for x in posts]), "pos": np.concatenate([x[4] for x in posts])})
-            yield pd.DataFrame(empty | {"text_class": [x[0] for x in sets], "n": [x[1] for x in sets], "tokens": [x[2] for x in sets]})
+            yield pd.DataFrame(empty | {"text_class": [x[0] for x in sets], "n": [x[1] for x in sets], "tokens": [x[2] for x in sets], "bits": [bit_map(x[2].view(np.uint64)) for x in sets]})
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         kinds = {"doc_id": "Int64", "text_class": "Int64", "n": "Int64", "part": "Int32", "token": "Int64", "pos": "Int32"}
@@ -198,30 +210,48 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return both.filter(f"100 * shared >= {percent} * (na + nb - shared)").select("a", "b")
 
 
-def _labelled(posts: DataFrame, links: DataFrame) -> DataFrame:
-    return posts.join(components(links).withColumnsRenamed({"node": "text_class", "label": "comp"}), "text_class", "left").withColumn("comp", F.coalesce("comp", "text_class"))
+def _open(posts: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The postings, with their components, of the lists in which more than one component is left."""
+    if labels is not None:
+        posts = posts.join(labels.withColumnsRenamed({"node": "text_class", "label": "comp"}), "text_class", "left").withColumn("comp", F.coalesce("comp", "text_class"))
+    else:
+        posts = posts.withColumn("comp", F.col("text_class"))
+    lists = posts.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("token")
+    return posts.join(lists, "token")
+
+
+def _close(percent: int) -> Column:
+    """Whether the lower bound of the difference of x and y allows for the similarity."""
+    differ = " + ".join(f"bit_count(x.bits{i} ^ y.bits{i})" for i in range(BITS // 64))
+    return F.expr(f"{100 + percent} * (x.own + y.own + {differ}) <= {100 - percent} * (x.n + y.n)")
 
 
-def class_links(posts: DataFrame, sets: DataFrame, orders: int = ORDERS, percent: int = PERCENT, rounds: int = 2) -> DataFrame:
+def class_links(posts: DataFrame, sets: DataFrame, orders: int = ORDERS, percent: int = PERCENT, rounds: tuple[int, ...] = CENTERS) -> DataFrame:
     """Links (a, b) between classes, in full up to connectivity."""
-    links = None
-    now = posts.withColumn("comp", F.col("text_class"))
-    for k in range(rounds):
-        # one center per list, and from each other component in it the class nearest to the center in size
-        rank = F.struct(F.xxhash64("text_class", F.lit(k)), "text_class", "n", "pos", "comp")
-        first = now.filter("part = 0").groupBy("token").agg(F.min(rank).alias("s"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("token", F.col("s.text_class").alias("text_class"), F.col("s.n").alias("n"), F.col("s.pos").alias("pos"), F.col("s.comp").alias("comp"))
-        pairs = now.filter("part = 0").alias("x").join(first.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") != F.col("y.comp")) & _roomy(percent))
+    links = labels = None
+    now = posts.filter("part = 0").drop("part")
+    for k, count in enumerate(rounds):
+        now = c.cut(_open(now.drop("comp"), labels))
+        ranks = [F.min(F.struct(F.xxhash64("text_class", F.lit(97 * k + i)), "text_class", "n", "pos", "comp")) for i in range(count)]
+        first = now.groupBy("token").agg(F.array(*ranks).alias("s")).select("token", F.explode(F.array_distinct("s")).alias("s")).select("token", "s.text_class", "s.n", "s.pos", "s.comp")
+        pairs = now.alias("x").join(first.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") != F.col("y.comp")) & _roomy(percent))
         pairs = pairs.select(F.least("x.text_class", "y.text_class").alias("a"), F.greatest("x.text_class", "y.text_class").alias("b")).distinct()
         found = c.cut(verified(pairs, sets, percent))
         links = found if links is None else links.union(found)
-        now = c.cut(_labelled(posts, links))
-    candidates = None
-    for k in range(orders):
-        open_lists = now.filter(f"part = {k}").groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("token")
-        own = now.filter(f"part = {k}").join(open_lists, "token")
-        pairs = own.alias("x").join(own.alias("y"), (F.col("x.token") == F.col("y.token")) & F.expr("x.comp <> y.comp AND x.text_class < y.text_class") & _roomy(percent))
-        pairs = pairs.select(F.col("x.text_class").alias("a"), F.col("y.text_class").alias("b")).distinct()
-        candidates = pairs if candidates is None else candidates.join(pairs, ["a", "b"])
+        labels = components(links)
+    maps = sets.select("text_class", (F.col("n") - F.size("tokens")).alias("own"), *[F.get("bits", F.lit(i)).alias(f"bits{i}") for i in range(BITS // 64)])
+    own = _open(now.drop("comp"), labels).join(maps, "text_class")
+    pairs = own.alias("x").join(own.alias("y"), (F.col("x.token") == F.col("y.token")) & F.expr("x.comp <> y.comp AND x.text_class < y.text_class") & _roomy(percent) & _close(percent))
+    candidates = c.cut(pairs.select(F.col("x.text_class").alias("a"), F.col("y.text_class").alias("b")).distinct())
+    if orders > 1:  # the other orders are asked about these pairs only
+        involved = candidates.select(F.col("a").alias("text_class")).union(candidates.select("b")).distinct()
+        names = [f"order{k}" for k in range(1, orders)]
+        prefixes = posts.filter("part > 0").join(involved, "text_class", "left_semi").groupBy("text_class").agg(*[F.collect_list(F.when(F.col("part") == k, F.col("token"))).alias(n) for k, n in enumerate(names, 1)])
+        for side in ("a", "b"):
+            candidates = candidates.join(prefixes.select(F.col("text_class").alias(side), *[F.col(n).alias(f"{side}_{n}") for n in names]), side)
+        for n in names:
+            candidates = candidates.filter(F.arrays_overlap(f"a_{n}", f"b_{n}"))
+        candidates = candidates.select("a", "b")
     return links.union(c.cut(verified(candidates, sets, percent)))
 
 
@@ -236,7 +266,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int
     table = c.stored(counted.groupBy("bucket").applyInPandas(_prefix(orders, percent), PREFIXED), "prefixes")
     docs = table.filter("doc_id IS NOT NULL").select("doc_id", "text_class", "n")
     posts = table.filter("token IS NOT NULL").select("part", "token", "text_class", "n", "pos")
-    sets = table.filter("tokens IS NOT NULL").select("text_class", "n", "tokens")
+    sets = table.filter("tokens IS NOT NULL").select("text_class", "n", "tokens", "bits")
     links = class_links(posts, sets, orders, percent)
     # nodes are named by their smallest id, so that a component's label is the smallest id in it
     names = c.cut(docs.groupBy("text_class").agg(F.min("doc_id").alias("name"), F.max("n").alias("n")))
