@@ -162,7 +162,7 @@ def _reader(f) -> Callable[[int, int], bytes]:
 
 
 def typed_records(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
-    """(page_id, url, html, digest, refers_to): which record each page becomes. A page that becomes a revisit keeps no html."""
+    """(page_id, url, html, digest, refers_to): which record each page becomes; refers_to is null for responses."""
     page = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
     page = page.withColumns({"digest": F.sha1(F.encode("html", "UTF-8")), "n": F.octet_length("html")})
     first = page.filter(F.col("n") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("first"), F.count("*").alias("copies")).filter("copies > 1").drop("copies")
