@@ -76,7 +76,8 @@ def hinterland(routes: DataFrame, keys: list[str], alpha: float = BATCH_EXPONENT
 
 def live_shares(routes: DataFrame, ports: DataFrame, key: str = "district_code", alpha: float = LIVE_EXPONENTS[0], beta: float = LIVE_EXPONENTS[1]) -> DataFrame:
     """Every port (port, port_order) with the districts and people it wins; a district goes to the port of largest utility."""
-    rows = utilities(routes, alpha, beta).filter("utility IS NOT NULL")
+    # on the stored columns, so that the filter stays small; broken pairs stay in and raise
+    rows = utilities(routes.filter("hours > 0 OR isnan(hours) OR (hours IS NULL) <> (km IS NULL)"), alpha, beta).filter("hours > 0")
     best = rows.groupBy(key).agg(F.max_by(F.struct("port", "population"), F.struct("utility", -F.col("port_order"))).alias("s"))
     won = best.groupBy(F.col("s.port").alias("port")).agg(F.count("*").alias("n"), F.sum(F.coalesce("s.population", F.lit(0))).alias("people"))
     all_ = Window.partitionBy()
