@@ -38,7 +38,7 @@ class _Memory(dict):
 class Words:
     """64-bit hashes of words, remembered for a while."""
 
-    def __init__(self, most: int = 300_000):
+    def __init__(self, most: int = 120_000):
         self.known, self.most = _Memory(), most
 
     def __call__(self, tokens: list[bytes]) -> np.ndarray:

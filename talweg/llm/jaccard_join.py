@@ -44,7 +44,7 @@ SIZE, PERCENT, ORDERS = 5, 75, 3
 #: Centers of each posting list, in each round of cheap links.
 CENTERS = (1, 8)
 #: Bytes of text whose shingles share a range, and that a task packs at once.
-RANGE_BYTES, FLUSH_BYTES = 20 << 20, 12 << 20
+RANGE_BYTES, FLUSH_BYTES = 10 << 20, 6 << 20
 
 
 def order_rank(order: int, keys: np.ndarray, frequency: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

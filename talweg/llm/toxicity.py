@@ -182,7 +182,7 @@ def score(df: DataFrame, model: Model, text: str = "text", out: str = "score") -
                 for w in text_words(t):
                     known = memory.get(w)
                     if known is None:
-                        if len(memory) >= 300_000:
+                        if len(memory) >= 100_000:
                             memory.clear()
                         known = memory[w] = tuple(f for f in word_features(w) if f in weights)
                     if known:
