@@ -176,7 +176,7 @@ def _shipped(edges: DataFrame):
     return edges.sparkSession.sparkContext.broadcast(Csr(e.u.to_numpy(), e.v.to_numpy(), e.hours.to_numpy(float), e.km.to_numpy(float), e.is_bridge.to_numpy(bool)).arrays())
 
 
-PATHS = "u long, v long, hours double, km double, bridges long, bridge_km double, max_bridge_m double, nodes array<long>"
+PATHS = "u long, v long, hours double, km double, bridges long, bridge_km double, max_bridge_m double, steps long, nodes array<long>"
 
 
 def fastest_paths(edges: DataFrame, pairs: DataFrame, with_nodes: bool = True) -> DataFrame:
@@ -193,21 +193,28 @@ def fastest_paths(edges: DataFrame, pairs: DataFrame, with_nodes: bool = True) -
         index = {v: int(np.searchsorted(names, v)) for v in wanted}
         known = {v: i for v, i in index.items() if i < len(names) and names[i] == v}
         hours, before = dijkstra(arrays, source, set(known.values()))
+        sums = {}  # km, bridges, their km, the longest and steps, each from the node before: settled earlier
+        for i in hours:
+            if i not in before:
+                sums[i] = (0.0, 0, 0.0, 0.0, 0)
+                continue
+            j, e = before[i]
+            x, n, b, most, steps = sums[j]
+            d = float(km[e])
+            sums[i] = (x + d, n + 1, b + d, max(most, d), steps + 1) if bridge[e] else (x + d, n, b, most, steps + 1)
         for v in wanted:
             i = known.get(v)
             if v == source:
-                rows.append((source, v, 0.0, 0.0, 0, 0.0, 0.0, [source] if with_nodes else None))
+                rows.append((source, v, 0.0, 0.0, 0, 0.0, 0.0, 0, [source] if with_nodes else None))
             elif i is None or i not in hours:
-                rows.append((source, v, None, None, None, None, None, None))
+                rows.append((source, v, None, None, None, None, None, None, None))
             else:
-                path, edges_on = [i], []
-                while path[-1] in before:
-                    j, e = before[path[-1]]
-                    path.append(j)
-                    edges_on.append(e)
-                bridges = [float(km[e]) for e in edges_on if bridge[e]]
-                rows.append((source, v, hours[i], float(sum(km[e] for e in edges_on)), len(bridges), sum(bridges), 1000 * max(bridges, default=0.0), [int(names[x]) for x in path[::-1]] if with_nodes else None))
-        return pd.DataFrame(rows, columns=["u", "v", "hours", "km", "bridges", "bridge_km", "max_bridge_m", "nodes"]).astype({"bridges": "Int64"})
+                path = [i]
+                while with_nodes and path[-1] in before:
+                    path.append(before[path[-1]][0])
+                x, n, b, most, steps = sums[i]
+                rows.append((source, v, hours[i], x, n, b, 1000 * most, steps, [int(names[x]) for x in path[::-1]] if with_nodes else None))
+        return pd.DataFrame(rows, columns=["u", "v", "hours", "km", "bridges", "bridge_km", "max_bridge_m", "steps", "nodes"]).astype({"bridges": "Int64", "steps": "Int64"})
 
     return pairs.select("u", "v").distinct().groupBy("u").applyInPandas(search, PATHS)
 

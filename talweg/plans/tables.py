@@ -63,9 +63,9 @@ def matrix(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select("district_code", "district", "port", "port_order", (10.0 + 7 * F.col("port_order")).alias("capacity"), F.when(~gap, hours).alias("hours"), F.when(~gap, hours * 48).alias("km"))
 
 
-def road_lines(spark: SparkSession, sf: str, parts: int = 200) -> DataFrame:
+def road_lines(spark: SparkSession, sf: str) -> DataFrame:
     """A lattice of roads: each part is a point, joined to the next in its row and to the one above."""
-    p = read(spark, sf, "part").filter(F.col("p_partkey") < parts).select(F.col("p_partkey").alias("k"), F.element_at(F.array(F.lit("motorway"), F.lit("trunk"), F.lit("primary"), F.lit("other")), (F.col("p_size") % 4 + 1).cast("int")).alias("road"))
+    p = read(spark, sf, "part").select(F.col("p_partkey").alias("k"), F.element_at(F.array(F.lit("motorway"), F.lit("trunk"), F.lit("primary"), F.lit("other")), (F.col("p_size") % 4 + 1).cast("int")).alias("road"))
     at = lambda k: F.struct(((k % 20) * 300.0).alias("x"), (F.floor(k / 20) * 300.0).alias("y"))
     right = p.filter("k % 20 <> 19").select((F.col("k") * 2).alias("line"), "road", F.array(at(F.col("k")), at(F.col("k") + 1)).alias("points"))
     up = p.filter("k % 17 <> 0").select((F.col("k") * 2 + 1).alias("line"), "road", F.array(at(F.col("k")), at(F.col("k") + 20)).alias("points"))
