@@ -43,7 +43,7 @@ def nearest_per_kind(spark, sf):
 
 
 def knn_per_category(spark, sf):
-    a = t.sites(spark, sf).filter("c_custkey % 10 = 0").select("c_custkey", "x", "y")
+    a = t.sites(spark, sf).select("c_custkey", "x", "y")
     b = t.hubs(spark, sf).select("s_suppkey", "kind", "x", "y")
     found = spatial.nearest(a, b, "c_custkey", "s_suppkey", CELL, k=2, by="kind")
     return found.select("c_custkey", F.col("r_kind").alias("kind"), "rank", F.col("r_s_suppkey").alias("s_suppkey"), F.round("dist_m", 3).alias("dist_m"))
@@ -70,7 +70,7 @@ def nearest_polygon(spark, sf):
 
 
 def nearest_road(spark, sf):
-    pts = t.read(spark, sf, "part").filter("p_partkey < 400").select("p_partkey", ((F.col("p_partkey") * 37) % 5700).cast("double").alias("x"), ((F.col("p_partkey") * 91) % 2700).cast("double").alias("y"))
+    pts = t.read(spark, sf, "part").select("p_partkey", ((F.col("p_partkey") * 37) % 5700).cast("double").alias("x"), ((F.col("p_partkey") * 91) % 2700).cast("double").alias("y"))
     lines = t.road_lines(spark, sf).select("line", "road", F.col("points")[0]["x"].alias("ax"), F.col("points")[0]["y"].alias("ay"), F.col("points")[1]["x"].alias("bx"), F.col("points")[1]["y"].alias("by"))
     return spatial.nearest_segment(pts, lines, "p_partkey", "line", 400.0).select("p_partkey", F.col("s_line").alias("line"), F.round("dist_m", 6).alias("dist_m"))
 

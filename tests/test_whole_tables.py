@@ -4,7 +4,8 @@ import math
 
 import pytest
 
-from talweg.plans import relational
+from talweg.plans import relational, spatial
+from talweg.plans import tables as t
 
 
 @pytest.fixture(scope="module")
@@ -27,3 +28,32 @@ def test_every_event_is_checked_for_order(spark, write):
     assert set(expected.values()) == {True, False}
     got = relational.monotonic_check(spark, write("events", events, "event_id long, user_id long, value double")).collect()
     assert {r.user_id: r.monotonic for r in got} == expected and len(got) == len(expected)
+
+
+def test_every_site_has_neighbours(spark, write):
+    write("customer", [(i, i % 25, f"c{i}", 1.0) for i in range(23)], "c_custkey long, c_nationkey long, c_name string, c_acctbal double")
+    sf = write("supplier", [(i, i % 25, f"s{i}", 1.0) for i in range(30)], "s_suppkey long, s_nationkey long, s_name string, s_acctbal double")
+    hubs = t.hubs(spark, sf).collect()
+    expected = {}
+    for s in t.sites(spark, sf).collect():
+        for kind in t.KINDS:
+            best = sorted((math.hypot(s.x - h.x, s.y - h.y), h.s_suppkey) for h in hubs if h.kind == kind)[:2]
+            expected |= {(s.c_custkey, kind, i + 1): key for i, (_, key) in enumerate(best)}
+    got = spatial.knn_per_category(spark, sf).collect()
+    assert {(r.c_custkey, r.kind, r["rank"]): r.s_suppkey for r in got} == expected and len(got) == len(expected)
+
+
+def test_every_point_finds_its_road(spark, write):
+    parts = 430
+    sf = write("part", [(k, k * 7 % 50) for k in range(parts)], "p_partkey long, p_size long")
+    lines = []
+    for k in range(parts):
+        x, y = k % 20 * 300.0, k // 20 * 300.0
+        lines += [(2 * k, x, y, x + 300, y)] * (k % 20 != 19) + [(2 * k + 1, x, y, x, y + 300)] * (k % 17 != 0)
+    expected = {}
+    for k in range(parts):
+        x, y = k * 37 % 5700, k * 91 % 2700
+        d, line = min((round(math.hypot(max(ax - x, 0, x - bx), max(ay - y, 0, y - by)), 6), n) for n, ax, ay, bx, by in lines)
+        if d <= 400:
+            expected[k] = (line, d)
+    assert {r.p_partkey: (r.line, r.dist_m) for r in spatial.nearest_road(spark, sf).collect()} == expected and max(expected) >= 400
