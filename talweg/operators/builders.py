@@ -70,8 +70,8 @@ def facilities(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def village_access(villages: DataFrame, access: DataFrame) -> DataFrame:
-    """villages with their access rows: by the code as text, and where there is none by name."""
-    coded = access.filter("code IS NOT NULL").select(F.col("code").cast("string").alias("__c"), F.col("km").alias("__by_code"))
+    """villages with their access rows: by the code as text, of rows that share a code the least km, and where there is none by name."""
+    coded = access.filter("code IS NOT NULL").groupBy(F.col("code").cast("string").alias("__c")).agg(F.min("km").alias("__by_code"))
     named = access.groupBy(F.col("name").alias("__n")).agg(F.count("*").alias("k"), F.first("km").alias("__by_name")).filter("k = 1").drop("k")
     joined = villages.join(coded, villages["code"].cast("string") == F.col("__c"), "left").join(named, villages["name"] == F.col("__n"), "left")
     return joined.withColumn("km", F.coalesce("__by_code", "__by_name")).drop("__c", "__n", "__by_code", "__by_name")

@@ -45,7 +45,7 @@ def plaza_clusters(spark, sf):
 
 def village_access(spark, sf):
     v = t.read(spark, sf, "customer").select("c_custkey", F.when(F.col("c_custkey") % 4 != 0, F.col("c_custkey") % 100).alias("code"), F.concat(F.lit("v"), (F.col("c_custkey") % 150).cast("string")).alias("name"))
-    a = t.read(spark, sf, "supplier").select(F.when(F.col("s_suppkey") % 10 != 0, F.col("s_suppkey") % 100).alias("code"), F.concat(F.lit("v"), (F.col("s_suppkey") + 100).cast("string")).alias("name"), F.round("s_acctbal", 1).alias("km")).filter("code IS NULL OR s_suppkey < 100")
+    a = t.read(spark, sf, "supplier").select(F.when(F.col("s_suppkey") % 10 != 0, F.col("s_suppkey") % 100).alias("code"), F.concat(F.lit("v"), (F.col("s_suppkey") + 100).cast("string")).alias("name"), F.round("s_acctbal", 1).alias("km"))
     return builders.village_access(v, a).select("c_custkey", "km")
 
 

@@ -111,9 +111,10 @@ def mapped_counts(spark, sf):
 
 def wide_matrix(spark, sf):
     """The long matrix as the published wide one: two columns per port."""
-    m = t.matrix(spark, sf).filter("port_order < 3").withColumn("key", F.concat(F.lit("p"), F.col("port_order").cast("string")))
-    wide = m.groupBy("district_code").pivot("key", ["p0", "p1", "p2"]).agg(F.first("hours").alias("hours"), F.first("km").alias("km"))
-    return wide.select("district_code", *[F.col(f"{p}_{c}").alias(f"{c}_to_{p}") for p in ("p0", "p1", "p2") for c in ("hours", "km")])
+    m = t.matrix(spark, sf).withColumn("key", F.concat(F.lit("p"), F.col("port_order").cast("string")))
+    ports = [f"p{i}" for i in range(t.PORTS)]
+    wide = m.groupBy("district_code").pivot("key", ports).agg(F.first("hours").alias("hours"), F.first("km").alias("km"))
+    return wide.select("district_code", *[F.col(f"{p}_{c}").alias(f"{c}_to_{p}") for p in ports for c in ("hours", "km")])
 
 
 # --- aggregates, windows, order ----------------------------------------------------------------------------------------
@@ -178,7 +179,7 @@ def hub_list_union(spark, sf):
 
 def set_differences(spark, sf):
     a = t.read(spark, sf, "customer").select(F.col("c_nationkey").alias("k")).distinct()
-    b = t.read(spark, sf, "supplier").filter("s_suppkey < 20").select(F.col("s_nationkey").alias("k")).distinct()
+    b = t.read(spark, sf, "supplier").select(F.col("s_nationkey").alias("k")).distinct()
     return a.subtract(b).select("k", F.lit("missing").alias("side")).union(a.intersect(b).select("k", F.lit("both").alias("side")))
 
 
@@ -245,14 +246,14 @@ def village_page(spark, sf):
 
 def resolve_location(spark, sf):
     n = t.read(spark, sf, "nation")
-    asked = t.sites(spark, sf).filter("c_custkey < 300").select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.col("c_nationkey").cast("string")).alias("code"), F.when(F.col("c_custkey") % 3 == 1, F.lower("c_name")).when(F.col("c_custkey") % 3 == 2, F.concat(F.lit("X"), (F.col("c_custkey") % 31).cast("string"))).alias("name"))
+    asked = t.sites(spark, sf).select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.col("c_nationkey").cast("string")).alias("code"), F.when(F.col("c_custkey") % 3 == 1, F.lower("c_name")).when(F.col("c_custkey") % 3 == 2, F.concat(F.lit("X"), (F.col("c_custkey") % 31).cast("string"))).alias("name"))
     known = n.select(F.col("n_nationkey").cast("long").alias("code"), F.concat(F.lit("x"), (F.col("n_nationkey") % 20).cast("string")).alias("name"))
     return resolve.resolve(asked, known, "c_custkey").select("c_custkey", "status", "found_code", "candidates")
 
 
 def requested_port(spark, sf):
-    asked = t.read(spark, sf, "supplier").filter("s_suppkey < 60").select("s_suppkey", F.concat(F.lit("port "), F.col("s_suppkey").cast("string")).alias("wanted"))
-    ports = t.read(spark, sf, "supplier").filter("s_suppkey < 12").select(F.concat(F.lit("Port-"), F.col("s_suppkey").cast("string"), F.lit(" (Main)")).alias("port"))
+    asked = t.read(spark, sf, "supplier").select("s_suppkey", F.concat(F.lit("port "), F.col("s_suppkey").cast("string")).alias("wanted"))
+    ports = t.read(spark, sf, "supplier").select(F.concat(F.lit("Port-"), F.col("s_suppkey").cast("string"), F.lit(" (Main)")).alias("port"))
     return resolve.match_port(asked, ports, "s_suppkey", "wanted", "port").select("s_suppkey", "status", "port")
 
 

@@ -4,7 +4,7 @@ import math
 
 import pytest
 
-from talweg.plans import relational, spatial
+from talweg.plans import builders, relational, spatial
 from talweg.plans import tables as t
 
 
@@ -57,3 +57,48 @@ def test_every_point_finds_its_road(spark, write):
         if d <= 400:
             expected[k] = (line, d)
     assert {r.p_partkey: (r.line, r.dist_m) for r in spatial.nearest_road(spark, sf).collect()} == expected and max(expected) >= 400
+
+
+SUPPLIERS, CUSTOMERS = 130, 310
+
+
+@pytest.fixture(scope="module")
+def trade(write):
+    write("nation", [(i, f"N{i}") for i in range(25)], "n_nationkey long, n_name string")
+    write("customer", [(i, i % 25, f"c{i}", 1.0) for i in range(CUSTOMERS)], "c_custkey long, c_nationkey long, c_name string, c_acctbal double")
+    return write("supplier", [(i, 24 if i == 125 else i % 24, f"s{i}", float(i * 37 % 101)) for i in range(SUPPLIERS)], "s_suppkey long, s_nationkey long, s_name string, s_acctbal double")
+
+
+def test_all_that_is_asked_is_answered(spark, trade):
+    got = {r.c_custkey: (r.status, r.found_code) for r in relational.resolve_location(spark, trade).collect()}
+    known = [(n, f"x{n % 20}") for n in range(25)]
+    for c in range(CUSTOMERS):
+        hits = [n for n, name in known if (n == c % 25 if c % 3 == 0 else c % 3 == 2 and name == f"x{c % 31}")]
+        assert got.pop(c) == (("missing", "found", "ambiguous")[min(len(hits), 2)], hits[0] if len(hits) == 1 else None)
+    assert not got
+    ports = {r.s_suppkey: (r.status, r.port) for r in relational.requested_port(spark, trade).collect()}
+    for s in range(SUPPLIERS):
+        hits = [p for p in range(SUPPLIERS) if f"port{s}" in f"port{p}main"]
+        assert ports.pop(s) == (("missing", "found", "ambiguous")[min(len(hits), 2)], f"Port-{hits[0]} (Main)" if len(hits) == 1 else None)
+    assert not ports
+
+
+def test_later_suppliers_count(spark, trade):
+    assert {(r.k, r.side) for r in relational.set_differences(spark, trade).collect()} == {(k, "both") for k in range(25)}
+
+
+def test_wide_matrix_has_every_port(spark, trade):
+    got = {r.district_code: r for r in relational.wide_matrix(spark, trade).collect()}
+    for n in range(25):
+        assert [got[n][f"hours_to_p{p}"] for p in range(t.PORTS)] == [None if (n + p) % 11 == 0 else (n * 53 + p * 17) % 300 / 10 for p in range(t.PORTS)]
+
+
+def test_coded_access_of_all_suppliers(spark, trade):
+    rows = [(s % 100 if s % 10 else None, f"v{s + 100}", round(float(s * 37 % 101), 1)) for s in range(SUPPLIERS)]
+    got = builders.village_access(spark, trade).collect()
+    for r in got:
+        c = r.c_custkey
+        coded = [km for code, _, km in rows if c % 4 and code == c % 100]
+        named = [km for _, name, km in rows if name == f"v{c % 150}"]
+        assert r.km == (min(coded) if coded else named[0] if named else None)
+    assert len(got) == CUSTOMERS
