@@ -234,19 +234,33 @@ def reached(edges: DataFrame, sources: DataFrame, limit: float) -> DataFrame:
     return sources.select("u").distinct().mapInPandas(search, "u long, node long, hours double")
 
 
-def relaxed_hours(edges: DataFrame, sources: DataFrame, rounds: int = 1000) -> DataFrame:
-    """(u, node, hours) of all nodes by repeated relaxation: DataFrame operations only, for graphs of any size."""
-    both = cut(edges.select("u", "v", "hours").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"), "hours")).withColumnsRenamed({"u": "x", "v": "y", "hours": "h"}))
+def relaxed_hours(edges: DataFrame, sources: DataFrame, rounds: int | None = None) -> DataFrame:
+    """(u, node, hours) of all nodes by repeated relaxation, until no path gets faster: DataFrame operations only, for graphs of any size.
+
+    A round follows one more edge. If `rounds` are given and do not suffice, that is an error; so are negative hours.
+    """
+    both = edges.select("u", "v", "hours").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"), "hours")).withColumnsRenamed({"u": "x", "v": "y", "hours": "h"})
+    both = cut(both.filter("h IS NOT NULL AND NOT isnan(h)"))
+    if not both.filter("h < 0").isEmpty():
+        raise ValueError("negative hours")
     best = cut(sources.select("u", F.col("u").alias("node"), F.lit(0.0).alias("hours")).distinct())
-    front = best
-    for _ in range(rounds):
+    front, done = best, 0
+    while True:
         step = front.join(both, F.col("node") == F.col("x")).groupBy("u", F.col("y").alias("node")).agg(F.min(F.col("hours") + F.col("h")).alias("hours"))
         old = best.select("u", "node", F.col("hours").alias("old"))
         front = cut(step.join(old, ["u", "node"], "left").filter("old IS NULL OR hours < old").select("u", "node", "hours"))
         if front.isEmpty():
-            break
-        best = cut(best.unionByName(front).groupBy("u", "node").agg(F.min("hours").alias("hours")))
-    return best
+            return best
+        if done == rounds:
+            raise ValueError(f"paths still get faster after {rounds} rounds")
+        best, done = cut(best.unionByName(front).groupBy("u", "node").agg(F.min("hours").alias("hours"))), done + 1
+
+
+def all_hours(edges: DataFrame, sources: DataFrame) -> DataFrame:
+    """(u, node, hours) of all nodes: by a search from every source, or by relaxation where the graph is too large to ship."""
+    if edges.count() > SHIPPED_EDGES:
+        return relaxed_hours(edges, sources)
+    return reached(edges, sources, float("inf"))
 
 
 def reach_counts(hours: DataFrame, thresholds: list[float], feeder_hours: Column | None = None) -> DataFrame:
