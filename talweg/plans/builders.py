@@ -67,7 +67,7 @@ ORACLE_SQL = {
     "population_allocation": f"WITH {_PAIRS}, v AS (SELECT c_nationkey AS child, count(*) AS villages FROM customer WHERE c_nationkey % 4 <> 0 GROUP BY 1), y AS (SELECT z.*, coalesce(villages, 0) * frac AS v FROM z LEFT JOIN v USING (child)), x AS (SELECT *, v / nullif(sum(v) OVER (PARTITION BY parent), 0) * people AS vshare FROM y), a AS (SELECT child, sum(share) AS ap, sum(vshare) AS vp, bool_or(frac >= 0.97 AND back / people >= 0.97) AS exact FROM x GROUP BY child), b AS (SELECT child, CASE WHEN NOT exact AND coalesce(vp, 0) > 0 THEN 0.5 * ap + 0.5 * vp ELSE ap END AS raw, CASE WHEN exact THEN 'census2011' WHEN coalesce(vp, 0) > 0 THEN 'blended' ELSE 'area_share' END AS method FROM a), d AS (SELECT child, method, CASE WHEN child % 3 = 0 THEN least(raw, (child + 1) * 900.0::DOUBLE * 1.02) ELSE raw END AS raw, n_regionkey AS g FROM b JOIN nation ON n_nationkey = child) SELECT child, round(CASE WHEN g <> 2 THEN raw * 50000 / sum(raw) OVER (PARTITION BY g) ELSE raw END, 3) AS people, method FROM d",
     "boundary_layer": "WITH r AS (SELECT CASE WHEN s_suppkey % 13 <> 0 THEN n_name END AS s, s_suppkey % 20 AS c, s_suppkey AS o FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 11 <> 0), k AS (SELECT s, c, min(o) AS o FROM r WHERE s IS NOT NULL GROUP BY ALL) SELECT array_to_string(list_transform(string_split(s, ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS state, 'Dista' || c AS district, c::BIGINT AS district_code, o AS src_order FROM k",
     "missing_districts": "WITH s AS (SELECT c_custkey % 40 AS c, 'd' || (c_custkey % 3) AS d, 's' || (c_custkey % 80 >= 60)::VARCHAR AS st FROM customer), l AS (SELECT * FROM s WHERE c NOT IN (SELECT n_nationkey FROM nation)), n AS (SELECT c, d, row_number() OVER (PARTITION BY c ORDER BY count(*) DESC, d) AS k FROM l GROUP BY c, d), z AS (SELECT c, string_agg(DISTINCT st, ';' ORDER BY st) AS states, count(DISTINCT st) > 1 AS clash FROM l GROUP BY c) SELECT c AS district_code, d AS district, states, clash FROM n JOIN z USING (c) WHERE k = 1",
-    "village_access": "WITH a AS (SELECT CASE WHEN s_suppkey % 10 <> 0 THEN s_suppkey % 100 END AS code, 'v' || (s_suppkey + 100) AS name, round(s_acctbal, 1) AS km FROM supplier WHERE s_suppkey % 10 = 0 OR s_suppkey < 100), v AS (SELECT c_custkey, CASE WHEN c_custkey % 4 <> 0 THEN c_custkey % 100 END AS code, 'v' || (c_custkey % 150) AS name FROM customer), n AS (SELECT name, any_value(km) AS km FROM a GROUP BY name HAVING count(*) = 1) SELECT c_custkey, coalesce(a.km, n.km) AS km FROM v LEFT JOIN a ON a.code = v.code LEFT JOIN n ON n.name = v.name",
+    "village_access": "WITH a AS (SELECT CASE WHEN s_suppkey % 10 <> 0 THEN s_suppkey % 100 END AS code, 'v' || (s_suppkey + 100) AS name, round(s_acctbal, 1) AS km FROM supplier), v AS (SELECT c_custkey, CASE WHEN c_custkey % 4 <> 0 THEN c_custkey % 100 END AS code, 'v' || (c_custkey % 150) AS name FROM customer), n AS (SELECT name, any_value(km) AS km FROM a GROUP BY name HAVING count(*) = 1), k AS (SELECT code, min(km) AS km FROM a WHERE code IS NOT NULL GROUP BY code) SELECT c_custkey, coalesce(k.km, n.km) AS km FROM v LEFT JOIN k ON k.code = v.code LEFT JOIN n ON n.name = v.name",
     "facility_table": t.with_("hub") + "SELECT kind, s_name AS label, CASE WHEN s_suppkey % 5 <> 0 THEN round(x, 2) END AS x, CASE WHEN s_suppkey % 5 <> 0 THEN round(y, 2) END AS y, s_suppkey AS source_order FROM hub WHERE kind IN ('rail', 'port', 'air')",
     "first_pass_winners": t.with_("matrix") + "SELECT district_code, kind, port AS hub, hours AS total_hours FROM (SELECT *, row_number() OVER (PARTITION BY district_code, kind ORDER BY hours, port_order) AS k FROM (SELECT *, port_order % 3 AS kind FROM matrix WHERE hours IS NOT NULL)) WHERE k = 1",
     "plaza_clusters": "WITH RECURSIVE " + t.CTE["site"] + ", e AS (SELECT a.c_custkey AS u, b.c_custkey AS v FROM site a JOIN site b ON a.c_custkey <> b.c_custkey AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= 20000), r(node, c) USING KEY (node) AS (SELECT c_custkey, c_custkey FROM site UNION (SELECT e.v, min(r.c) FROM r JOIN e ON e.u = r.node JOIN recurring.r o ON o.node = e.v WHERE r.c < o.c GROUP BY e.v)) SELECT c AS component, arg_min(c_name, c_custkey) FILTER (c_custkey % 3 = 0) AS name, arg_min('NH' || (c_custkey % 9), c_custkey) FILTER (c_custkey % 5 = 0) AS ref, round(avg(lat), 6) AS lat, round(avg(lon), 6) AS lon, count(*) AS n FROM r JOIN site ON c_custkey = node GROUP BY c",

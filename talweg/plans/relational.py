@@ -290,19 +290,19 @@ ORACLE_SQL = {
     "fallback_join": "WITH b AS (SELECT n_nationkey AS code, 'N' || (n_nationkey % 20) AS name, n_nationkey * 100 AS value FROM nation), u AS (SELECT name, any_value(value) AS value FROM b GROUP BY name HAVING count(*) = 1) SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN b.value ELSE u.value END AS value FROM customer LEFT JOIN b ON b.code = c_nationkey LEFT JOIN u ON u.name = 'N' || (c_custkey % 30)",
     "population_join": t.with_("district") + f", {_FACTS}, a AS (SELECT c_custkey, upper(state) AS s, CASE WHEN c_custkey % 4 <> 0 THEN district_code % 19 END AS code, district FROM customer JOIN district ON c_nationkey = district_code), one AS (SELECT code, min(population) AS p FROM facts WHERE code IS NOT NULL GROUP BY code HAVING count(DISTINCT s) = 1), two AS (SELECT s, code, min(population) AS p FROM facts WHERE code IS NOT NULL GROUP BY ALL), nm AS (SELECT s, district, min(population) AS p FROM facts WHERE code IS NULL GROUP BY ALL HAVING count(*) = 1) SELECT c_custkey, CASE WHEN a.code IS NOT NULL THEN coalesce(one.p, two.p) ELSE nm.p END AS population FROM a LEFT JOIN one USING (code) LEFT JOIN two ON two.s = a.s AND two.code = a.code LEFT JOIN nm ON nm.s = a.s AND nm.district = a.district",
     "mapped_counts": "SELECT n_nationkey AS k, n_name, count(s_suppkey) AS hubs FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY ALL",
-    "wide_matrix": t.with_("matrix") + "SELECT district_code, " + ", ".join(f"max({c}) FILTER (port_order = {i}) AS {c}_to_p{i}" for i in range(3) for c in ("hours", "km")) + " FROM matrix GROUP BY district_code",
+    "wide_matrix": t.with_("matrix") + "SELECT district_code, " + ", ".join(f"max({c}) FILTER (port_order = {i}) AS {c}_to_p{i}" for i in range(t.PORTS) for c in ("hours", "km")) + " FROM matrix GROUP BY district_code",
     "state_list": t.with_("district") + "SELECT state, count(*) AS districts, sum(population)::BIGINT AS population, min(district_code) AS first_code FROM district GROUP BY state",
     "mode_per_group": "SELECT l_returnflag, l_linenumber, n FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY n DESC, l_linenumber) AS k FROM (SELECT l_returnflag, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL)) WHERE k = 1",
     "dedupe_keep_first": "SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY ALL",
     "dedupe_last": "SELECT l_orderkey, arg_max(l_partkey, l_linenumber) AS l_partkey, max(l_linenumber) AS l_linenumber FROM lineitem GROUP BY l_orderkey",
     "duplicate_flags": "SELECT l_orderkey, l_linenumber, l_suppkey, count(*) OVER (PARTITION BY l_orderkey, l_suppkey) > 1 AS is_duplicate FROM lineitem",
     "event_runs": "SELECT user_id, sum(new)::BIGINT AS runs FROM (SELECT user_id, (lag(event_type) OVER w IS DISTINCT FROM event_type)::INT AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) GROUP BY user_id",
-    "monotonic_check": "SELECT user_id, NOT coalesce(bool_or(v < l), false) AS monotonic FROM (SELECT user_id, floor(value) AS v, lag(floor(value)) OVER (PARTITION BY user_id ORDER BY event_id) AS l FROM events WHERE event_id % 37 = 0) GROUP BY user_id",
+    "monotonic_check": "SELECT user_id, NOT coalesce(bool_or(v < l), false) AS monotonic FROM (SELECT user_id, floor(value) AS v, lag(floor(value)) OVER (PARTITION BY user_id ORDER BY event_id) AS l FROM events) GROUP BY user_id",
     "group_share": "SELECT o_orderkey, round(o_totalprice / sum(o_totalprice) OVER (PARTITION BY o_custkey) * 100, 6) AS scaled FROM orders",
     "systematic_sample": "SELECT n_nationkey FROM nation WHERE n_nationkey IN (0, 4, 8, 12, 16, 20, 24)",
     "seeded_sample": "SELECT c_custkey FROM customer ORDER BY sha256('42:' || c_custkey) LIMIT 40",
     "hub_list_union": t.with_("hub") + "SELECT s_suppkey, s_name, kind AS hub_type, CASE WHEN kind = 'port' THEN s_acctbal END AS s_acctbal FROM hub WHERE kind IN ('rail', 'port')",
-    "set_differences": "WITH a AS (SELECT DISTINCT c_nationkey AS k FROM customer), b AS (SELECT DISTINCT s_nationkey AS k FROM supplier WHERE s_suppkey < 20) SELECT k, 'missing' AS side FROM (SELECT k FROM a EXCEPT SELECT k FROM b) UNION ALL SELECT k, 'both' FROM (SELECT k FROM a INTERSECT SELECT k FROM b)",
+    "set_differences": "WITH a AS (SELECT DISTINCT c_nationkey AS k FROM customer), b AS (SELECT DISTINCT s_nationkey AS k FROM supplier) SELECT k, 'missing' AS side FROM (SELECT k FROM a EXCEPT SELECT k FROM b) UNION ALL SELECT k, 'both' FROM (SELECT k FROM a INTERSECT SELECT k FROM b)",
     "frame_diff": "SELECT n_nationkey::BIGINT AS k, CASE WHEN n_nationkey = 3 THEN 'missing right' ELSE 'different' END AS problem FROM nation WHERE n_nationkey IN (3, 5, 7)",
     "baseline_drift": "SELECT dataset, n AS rows, CASE WHEN n % 2 = 1 THEN 'WARN' ELSE 'PASS' END AS status FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS dataset, count(*) AS n FROM {n}" for n in ("nation", "region", "customer", "supplier", "orders")) + ")",
     "content_hash": "SELECT sha256(string_agg(r_regionkey || '|' || r_name, chr(10) ORDER BY r_regionkey)) AS content_hash FROM region",
@@ -314,7 +314,7 @@ ORACLE_SQL = {
     "village_page": "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 50 OFFSET 100",
     "strict_json": "SELECT '{\"n_nationkey\":' || n_nationkey || ',\"n_name\":\"' || n_name || '\",\"v\":' || CASE WHEN n_nationkey = 3 THEN 'null' ELSE n_regionkey || '.0' END || '}' AS json FROM nation",
     "distance_classes": "SELECT c_custkey, CASE WHEN m <= 5 THEN 0 WHEN m <= 10 THEN 1 WHEN m <= 25 THEN 2 WHEN m <= 50 THEN 3 ELSE 4 END AS band FROM (SELECT c_custkey, c_custkey % 70 AS m FROM customer)",
-    "resolve_location": "WITH a AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_nationkey END AS code, CASE WHEN c_custkey % 3 = 1 THEN lower(c_name) WHEN c_custkey % 3 = 2 THEN 'x' || (c_custkey % 31) END AS name FROM customer WHERE c_custkey < 300), k AS (SELECT n_nationkey AS code, 'x' || (n_nationkey % 20) AS name FROM nation), j AS (SELECT c_custkey, count(k.code) AS n, min(k.code)::BIGINT AS c FROM a LEFT JOIN k ON k.code = a.code OR k.name = a.name GROUP BY c_custkey) SELECT c_custkey, CASE WHEN n = 0 THEN 'missing' WHEN n = 1 THEN 'found' ELSE 'ambiguous' END AS status, CASE WHEN n = 1 THEN c END AS found_code, n AS candidates FROM j",
-    "requested_port": "WITH a AS (SELECT s_suppkey, 'port' || s_suppkey AS w FROM supplier WHERE s_suppkey < 60), p AS (SELECT 'Port-' || s_suppkey || ' (Main)' AS port, 'port' || s_suppkey || 'main' AS k FROM supplier WHERE s_suppkey < 12), j AS (SELECT a.s_suppkey, count(p.port) AS n, min(port) AS port FROM a LEFT JOIN p ON contains(k, w) OR contains(w, k) GROUP BY 1) SELECT s_suppkey, CASE WHEN n = 0 THEN 'missing' WHEN n = 1 THEN 'found' ELSE 'ambiguous' END AS status, CASE WHEN n = 1 THEN port END AS port FROM j",
+    "resolve_location": "WITH a AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_nationkey END AS code, CASE WHEN c_custkey % 3 = 1 THEN lower(c_name) WHEN c_custkey % 3 = 2 THEN 'x' || (c_custkey % 31) END AS name FROM customer), k AS (SELECT n_nationkey AS code, 'x' || (n_nationkey % 20) AS name FROM nation), j AS (SELECT c_custkey, count(k.code) AS n, min(k.code)::BIGINT AS c FROM a LEFT JOIN k ON k.code = a.code OR k.name = a.name GROUP BY c_custkey) SELECT c_custkey, CASE WHEN n = 0 THEN 'missing' WHEN n = 1 THEN 'found' ELSE 'ambiguous' END AS status, CASE WHEN n = 1 THEN c END AS found_code, n AS candidates FROM j",
+    "requested_port": "WITH a AS (SELECT s_suppkey, 'port' || s_suppkey AS w FROM supplier), p AS (SELECT 'Port-' || s_suppkey || ' (Main)' AS port, 'port' || s_suppkey || 'main' AS k FROM supplier), j AS (SELECT a.s_suppkey, count(p.port) AS n, min(port) AS port FROM a LEFT JOIN p ON contains(k, w) OR contains(w, k) GROUP BY 1) SELECT s_suppkey, CASE WHEN n = 0 THEN 'missing' WHEN n = 1 THEN 'found' ELSE 'ambiguous' END AS status, CASE WHEN n = 1 THEN port END AS port FROM j",
     "percentile_scores": t.with_("district") + ", h AS (SELECT s_nationkey, count(*) AS hubs, round(avg(s_acctbal), 2) AS balance FROM supplier GROUP BY 1), d AS (SELECT * FROM district LEFT JOIN h ON s_nationkey = district_code), p AS (SELECT district_code, state, " + ", ".join(f"CASE WHEN {c} IS NOT NULL THEN percent_rank() OVER (PARTITION BY {c} IS NULL ORDER BY {c}) * 100 END AS n_{c}, CASE WHEN {c} IS NOT NULL THEN percent_rank() OVER (PARTITION BY state, {c} IS NULL ORDER BY {c}) * 100 END AS s_{c}" for c in ("population", "hubs", "balance")) + " FROM d), w AS (SELECT *, (coalesce(n_population * 0.5, 0) + coalesce(n_hubs * 0.25, 0) + coalesce(n_balance * 0.25, 0)) / nullif(CASE WHEN n_population IS NOT NULL THEN 0.5 ELSE 0 END + CASE WHEN n_hubs IS NOT NULL THEN 0.25 ELSE 0 END + CASE WHEN n_balance IS NOT NULL THEN 0.25 ELSE 0 END, 0) AS sc FROM p) SELECT district_code, round(n_population, 4) AS population_national, round(s_population, 4) AS population_state, round(sc, 4) AS score, rank() OVER (ORDER BY round(sc, 9) DESC NULLS LAST)::INTEGER AS rank FROM w",
 }

@@ -123,10 +123,10 @@ ORACLE_SQL = {
     "radius_join": t.with_("site", "hub") + f"SELECT c_custkey, s_suppkey, round({_D}, 3) AS dist_m FROM site s JOIN hub h ON {_D} <= {RADIUS}",
     "self_radius_pairs": t.with_("hub") + f"SELECT s.s_suppkey AS a, h.s_suppkey AS b, round({_D}, 3) AS dist_m FROM hub s JOIN hub h ON s.s_suppkey < h.s_suppkey AND {_D} <= 200000",
     "nearest_per_kind": t.with_("site", "hub") + f"SELECT c_custkey, kind, s_suppkey, round(d, 3) AS dist_m FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey, kind ORDER BY d, s_suppkey) AS k FROM (SELECT c_custkey, kind, s_suppkey, {_D} AS d FROM site s CROSS JOIN hub h)) WHERE k = 1",
-    "knn_per_category": t.with_("site", "hub") + f"SELECT c_custkey, kind, k::INTEGER AS rank, s_suppkey, round(d, 3) AS dist_m FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey, kind ORDER BY d, s_suppkey) AS k FROM (SELECT c_custkey, kind, s_suppkey, {_D} AS d FROM site s CROSS JOIN hub h WHERE c_custkey % 10 = 0)) WHERE k <= 2",
+    "knn_per_category": t.with_("site", "hub") + f"SELECT c_custkey, kind, k::INTEGER AS rank, s_suppkey, round(d, 3) AS dist_m FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey, kind ORDER BY d, s_suppkey) AS k FROM (SELECT c_custkey, kind, s_suppkey, {_D} AS d FROM site s CROSS JOIN hub h)) WHERE k <= 2",
     "pip_join": t.with_("site") + f", {_BOX} SELECT c_custkey, district_code FROM site LEFT JOIN box ON lon > x0 AND lon < x1 AND lat > y0 AND lat < y1",
     "nearest_polygon": t.with_("hub") + f", {_BOX} SELECT s_suppkey, district_code, d AS dist FROM (SELECT *, row_number() OVER (PARTITION BY s_suppkey ORDER BY d, district_code) AS k FROM (SELECT s_suppkey, district_code, round(sqrt(pow(greatest(x0 - lon, 0, lon - x1), 2) + pow(greatest(y0 - lat, 0, lat - y1), 2)), 6) AS d FROM hub CROSS JOIN box)) WHERE k = 1",
-    "nearest_road": "WITH p AS (SELECT p_partkey, ((p_partkey * 37) % 5700)::DOUBLE AS x, ((p_partkey * 91) % 2700)::DOUBLE AS y FROM part WHERE p_partkey < 400), l AS (SELECT p_partkey * 2 AS line, (p_partkey % 20) * 300.0 AS ax, (p_partkey // 20) * 300.0 AS ay, (p_partkey + 1) % 20 * 300.0 AS bx, (p_partkey // 20) * 300.0 AS by_ FROM part WHERE p_partkey < 200 AND p_partkey % 20 <> 19 UNION ALL SELECT p_partkey * 2 + 1, (p_partkey % 20) * 300.0, (p_partkey // 20) * 300.0, (p_partkey % 20) * 300.0, (p_partkey // 20 + 1) * 300.0 FROM part WHERE p_partkey < 200 AND p_partkey % 17 <> 0) SELECT p_partkey, line, d AS dist_m FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY d, line) AS k FROM (SELECT p_partkey, line, round(sqrt(pow(greatest(ax - x, 0, x - bx), 2) + pow(greatest(ay - y, 0, y - by_), 2)), 6) AS d FROM p CROSS JOIN l) WHERE d <= 400) WHERE k = 1",
+    "nearest_road": "WITH p AS (SELECT p_partkey, ((p_partkey * 37) % 5700)::DOUBLE AS x, ((p_partkey * 91) % 2700)::DOUBLE AS y FROM part), l AS (SELECT p_partkey * 2 AS line, (p_partkey % 20) * 300.0 AS ax, (p_partkey // 20) * 300.0 AS ay, (p_partkey + 1) % 20 * 300.0 AS bx, (p_partkey // 20) * 300.0 AS by_ FROM part WHERE p_partkey % 20 <> 19 UNION ALL SELECT p_partkey * 2 + 1, (p_partkey % 20) * 300.0, (p_partkey // 20) * 300.0, (p_partkey % 20) * 300.0, (p_partkey // 20 + 1) * 300.0 FROM part WHERE p_partkey % 17 <> 0) SELECT p_partkey, line, d AS dist_m FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY d, line) AS k FROM (SELECT p_partkey, line, round(sqrt(pow(greatest(ax - x, 0, x - bx), 2) + pow(greatest(ay - y, 0, y - by_), 2)), 6) AS d FROM p CROSS JOIN l) WHERE d <= 400) WHERE k = 1",
     "overlay_area_alloc": "WITH o AS (SELECT n_nationkey AS parent, (n_nationkey % 5) * 10.0::DOUBLE AS x0, (n_nationkey // 5) * 10.0::DOUBLE AS y0, (n_nationkey + 1) * 1000.0::DOUBLE AS people FROM nation), c AS (SELECT n_nationkey AS child, (n_nationkey % 5) * 9.5::DOUBLE + 1.3::DOUBLE AS x0, (n_nationkey // 5) * 9.8::DOUBLE + 0.1::DOUBLE AS y0 FROM nation), i AS (SELECT child, parent, people, (least(c.x0 + 9.5::DOUBLE, o.x0 + 10) - greatest(c.x0, o.x0)) * (least(c.y0 + 9.8::DOUBLE, o.y0 + 10) - greatest(c.y0, o.y0)) AS area FROM c JOIN o ON c.x0 < o.x0 + 10 AND o.x0 < c.x0 + 9.5::DOUBLE AND c.y0 < o.y0 + 10 AND o.y0 < c.y0 + 9.8::DOUBLE), w AS (SELECT *, sum(area) OVER (PARTITION BY child) AS t FROM i), k AS (SELECT * FROM w WHERE NOT (area / 100 < 0.02 AND area / t < 0.02)), z AS (SELECT *, people * area / 100 AS share, sum(area) OVER (PARTITION BY child) AS t2, sum(people * area / 100) OVER (PARTITION BY parent) AS back FROM k) SELECT child, round(sum(share), 4) AS people, count(*) AS parents, bool_or(area / t2 >= 0.97 AND back / people >= 0.97) AS exact FROM z GROUP BY child",
     "district_access_summary": t.with_("site", "hub") + f", {_NEAR} SELECT c_nationkey, count(*) AS villages, median(dist_km) AS hub_median_km, floor(round(sum(dist_km), 6) / count(dist_km) * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS hub_mean_km, {_WITHIN(4)} FROM b GROUP BY c_nationkey",
     "state_access_rollup": t.with_("site", "hub") + f", {_NEAR}, d AS (SELECT c_nationkey, floor(round(sum(dist_km), 6) / count(dist_km) * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS m, CASE WHEN c_nationkey % 6 <> 0 THEN (c_nationkey + 1) * 10 END AS p FROM b GROUP BY c_nationkey) SELECT (SELECT count(*) FROM b) AS villages, round(sum(m * p) / sum(p), 6) AS hub_mean_km, " + ", ".join(f"(SELECT round(avg(CASE WHEN dist_km <= {x!r} THEN 1.0 ELSE 0.0 END) * 100, 4) FROM b) AS hub_within_{x:g}km_pct" for x in THRESHOLDS) + ", sum(p)::BIGINT AS population FROM d WHERE p IS NOT NULL",

@@ -84,7 +84,7 @@ CTE = {
     "matrix": f"matrix AS (SELECT n_nationkey AS district_code, n_name AS district, s_name AS port, s_suppkey AS port_order, 10.0::DOUBLE + 7 * s_suppkey AS capacity, CASE WHEN (n_nationkey + s_suppkey) % 11 <> 0 THEN ((n_nationkey * 53 + s_suppkey * 17) % 300) / 10.0::DOUBLE END AS hours, CASE WHEN (n_nationkey + s_suppkey) % 11 <> 0 THEN ((n_nationkey * 53 + s_suppkey * 17) % 300) / 10.0::DOUBLE * 48 END AS km FROM nation CROSS JOIN supplier WHERE s_suppkey < {PORTS})",
     "edge": "edge AS (SELECT k AS u, k + 1 AS v, sp FROM net WHERE k % 20 <> 19 UNION ALL SELECT k, k + 20, sp FROM net WHERE k % 17 <> 0)",
 }
-CTE["net"] = "net AS (SELECT p_partkey AS k, CASE p_size % 4 WHEN 0 THEN 90.0::DOUBLE WHEN 1 THEN 70.0::DOUBLE WHEN 2 THEN 55.0::DOUBLE ELSE 50.0::DOUBLE END AS sp FROM part WHERE p_partkey < 200)"
+CTE["net"] = "net AS (SELECT p_partkey AS k, CASE p_size % 4 WHEN 0 THEN 90.0::DOUBLE WHEN 1 THEN 70.0::DOUBLE WHEN 2 THEN 55.0::DOUBLE ELSE 50.0::DOUBLE END AS sp FROM part)"
 
 
 def with_(*names: str) -> str:
