@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from talweg.functions.text import clean_state_name, highway_numbers, leading_code, lower_and, repair_glyphs, station_key
+from talweg.functions.text import clean_state_name, highway_numbers, leading_code, lower_and, repair_glyphs, similarity, station_key
 from talweg.operators.graph import components
 from talweg.operators.relational import keep_first, keep_last, union_all
 from talweg.operators.spatial import self_pairs
+from talweg.operators.stages import cut
 
 
 def standard_boundaries(raw: DataFrame, rename: dict[str, str], keep: list[str]) -> DataFrame:
@@ -30,20 +31,48 @@ def missing_districts(subdistricts: DataFrame, districts: DataFrame) -> DataFram
     return names.join(states, "district_code").select("district_code", F.col("s.district").alias("district"), F.array_join("states", ";").alias("states"), (F.size("states") > 1).alias("clash"))
 
 
-def match_stations(wanted: DataFrame, stations: DataFrame, key: str, fuzzy: float = 0.82) -> DataFrame:
-    """wanted (key, name, state) with the best station (s_code, tier): same name in the state, part of a name in the state, the same two without regard to the state, then alike names in the state."""
-    from talweg.functions.text import similarity
-
-    w = wanted.select(key, station_key(F.col("name")).alias("w"), F.lower("state").alias("ws"))
-    s = stations.select(F.col("code").alias("s_code"), station_key(F.col("name")).alias("s"), F.lower("state").alias("ss"))
-    exact = w.join(s, F.col("w") == F.col("s")).withColumn("tier", F.when(F.col("ws") == F.col("ss"), 1).otherwise(3))
-    # parts of names share their first word or hold it; both sides are rosters, so the words meet by equality
-    word = lambda c: F.explode(F.array_distinct(F.split(F.col(c), " ")))
-    pairs = w.withColumn("k", word("w")).join(s.withColumn("k", word("s")), "k").drop("k").distinct()
-    part = pairs.filter(F.col("s").contains(F.col("w")) | F.col("w").contains(F.col("s"))).withColumn("tier", F.when(F.col("ws") == F.col("ss"), 2).otherwise(4))
-    alike = w.join(s, F.col("ws") == F.col("ss")).filter(similarity("w", "s") >= fuzzy).withColumn("tier", F.lit(5))
-    found = union_all([x.select(key, "s_code", "tier") for x in (exact, part, alike)])
-    return wanted.join(keep_first(found, [key], "tier", "s_code"), key, "left")
+def _grams(name: str, sizes: tuple[int, ...]) -> Column:
+    """Rows of the distinct parts of a name with the given numbers of letters."""
+    part = lambda n: F.transform(F.sequence(F.lit(1), F.length(name) - (n - 1)), lambda i: F.substring(F.col(name), i, F.lit(n)))
+    none = F.array().cast("array<string>")
+    return F.explode(F.array_distinct(F.concat(*[F.when(F.length(name) >= n, part(n)).otherwise(none) for n in sizes])))
+
+
+def match_stations(wanted: DataFrame, stations: DataFrame, key: str, hubs: tuple[DataFrame, ...] = (), fuzzy: float = 0.82) -> DataFrame:
+    """wanted (key, name, state) with its station (s_code, tier) among stations (code, name, state, src_order).
+
+    Names are compared by their station key; what is asked for ends at a parenthesis or a dash. Tiers, the first that hits
+    counts, and in it the first station of the source: 1 the same name in the state; 2 a name in the state that holds it;
+    3 and 4 the same in any state; 5 the name that is most alike, at least `fuzzy`, the last in the alphabet of equally
+    alike ones. Then hubs (name, src_order), one table after another: 6 and up, the first hub whose name holds the first
+    word, given as s_hub. Names that are null or empty find nothing.
+
+    No pair of names is formed that shares no letters: a name that holds another holds its first three letters, and two
+    names that are alike to 0.82 share two neighbouring letters.
+    """
+    asked = F.split(F.split("name", r"\(", 2)[0], " - ", 2)[0]
+    w = cut(wanted.select(F.monotonically_increasing_id().alias("__id"), F.col(key), F.nullif(station_key(asked), F.lit("")).alias("w"), F.lower("state").alias("ws"), *[F.col(c).alias(f"__k_{c}") for c in wanted.columns]))
+    s = stations.select(F.col("code").alias("s_code"), station_key(F.col("name")).alias("s"), F.lower("state").alias("ss"), F.col("src_order").alias("s_order"))
+    start = lambda c: F.substring(c, 1, 3)
+    here = F.col("ws") == F.col("ss")
+    exact = w.join(s, F.col("w") == F.col("s")).withColumn("tier", F.when(here, 1).otherwise(3))
+    part = w.withColumn("g", start("w")).join(s.withColumn("g", _grams("s", (1, 2, 3))), "g").filter(F.col("s").contains(F.col("w"))).withColumn("tier", F.when(here, 2).otherwise(4))
+    first = keep_first(union_all([x.select("__id", "s_code", "s_order", "tier") for x in (exact, part)]), ["__id"], "tier", "s_order")
+    lost = w.join(first.select("__id"), "__id", "left_anti")
+    names = s.filter("s <> ''").groupBy("s").agg(F.min(F.struct("s_order", "s_code")).alias("m"))
+    near = lost.withColumn("g", _grams("w", (1, 2))).join(names.withColumn("g", _grams("s", (1, 2))), "g").drop("g").dropDuplicates(["__id", "s"])
+    alike = near.withColumn("score", similarity("s", "w")).filter(F.col("score") >= fuzzy)
+    alike = keep_first(alike, ["__id"], F.desc("score"), F.desc("s")).select("__id", "m.s_code", "m.s_order", F.lit(5).alias("tier"))
+    found = first.unionByName(alike).withColumn("s_hub", F.lit(None).cast("string"))
+    for i, hub in enumerate(hubs):
+        word = F.split("w", r"\s+", 2)[0]
+        h = hub.select(F.col("name").alias("s_hub"), station_key(F.lower("name")).alias("hn"), F.col("src_order").alias("s_order"))
+        open_ = w.join(found.select("__id"), "__id", "left_anti").filter("w IS NOT NULL").withColumn("first", word).withColumn("g", start("first"))
+        hit = open_.join(h.withColumn("g", _grams("hn", (1, 2, 3))), "g").filter(F.col("hn").contains(F.col("first")))
+        hit = keep_first(hit, ["__id"], "s_order").select("__id", F.lit(None).cast(dict(found.dtypes)["s_code"]).alias("s_code"), "s_order", F.lit(6 + i).alias("tier"), "s_hub")
+        found = found.unionByName(hit)
+    kept = [F.col(f"__k_{c}").alias(c) for c in wanted.columns]
+    return w.join(found.select("__id", "s_code", "tier", "s_hub"), "__id", "left").select(*kept, "s_code", "tier", "s_hub")
 
 
 def plaza_clusters(points: DataFrame, key: str, radius: float = 150.0) -> DataFrame:
@@ -86,11 +115,3 @@ def winners_then_paths(times: DataFrame, keys: list[str]) -> DataFrame:
 def strata_sample(df: DataFrame, stratum: Column, order: str) -> DataFrame:
     """The first row of every stratum."""
     return keep_first(df.withColumn("stratum", stratum), ["stratum"], order)
-
-
-def percent_of(part: Column, over: list[str]) -> Column:
-    return part / F.sum(part).over(Window.partitionBy(*over)) * 100
-
-
-def canonical_rows(df: DataFrame, state: str = "state") -> DataFrame:
-    return df.withColumn("canonical_state", clean_state_name(F.col(state)))

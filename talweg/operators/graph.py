@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import heapq
-import tempfile
 
 import numpy as np
 import pandas as pd
@@ -13,6 +12,7 @@ from pyspark.sql.window import Window
 
 from talweg.functions.geo import planar_m, snap
 from talweg.operators.spatial import self_pairs
+from talweg.operators.stages import cut, numbered
 
 # Speeds in km/h by road class, bridge speed and reach, snapping grid.
 SPEEDS = {"motorway": 90.0, "trunk": 70.0, "primary": 55.0}
@@ -23,14 +23,6 @@ COMPONENT_FLOOR = 1000
 SHIPPED_EDGES = 20_000_000
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df evaluated into the shared checkpoint folder."""
-    context = df.sparkSession.sparkContext
-    if not context.getConf().get("spark.checkpoint.dir") and not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="talweg-"))
-    return df.checkpoint(eager=True)
-
-
 def speed(road: Column) -> Column:
     out = F.lit(OTHER_SPEED)
     for name, value in SPEEDS.items():
@@ -62,15 +54,6 @@ def build_graph(lines: DataFrame, grid: float = GRID_M) -> tuple[DataFrame, Data
     return nodes, edges.groupBy("u", "v").agg(F.min("hours").alias("hours"), F.min_by("km", "hours").alias("km")).select("u", "v", "km", "hours", F.lit(False).alias("is_bridge"))
 
 
-def numbered(df: DataFrame, order: str, out: str) -> DataFrame:
-    """df with numbers from 0 in the given order: counted by range, so that no task sees all rows."""
-    dealt = cut(df.repartitionByRange(order).withColumn("__part", F.spark_partition_id()))
-    sizes = dealt.groupBy("__part").count()
-    before = sizes.select("__part", (F.sum("count").over(Window.orderBy("__part")) - F.col("count")).alias("__before"))  # a row per partition
-    own = F.row_number().over(Window.partitionBy("__part").orderBy(order)) - 1
-    return dealt.withColumn("__own", own).join(before, "__part").withColumn(out, F.col("__before") + F.col("__own")).drop("__part", "__own", "__before")
-
-
 def add_bridges(lines: DataFrame, nodes: DataFrame, edges: DataFrame, reach: float = BRIDGE_M, grid: float = GRID_M) -> DataFrame:
     """edges with bridges between line ends within reach that no edge joins."""
     points = vertices(lines, grid)

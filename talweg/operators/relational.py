@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from talweg.operators.stages import numbered
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join on keys of which nulls match each other; right's other columns are added."""
@@ -132,10 +134,19 @@ def frame_difference(left: DataFrame, right: DataFrame, key: str, tolerance: flo
     return both.select(F.coalesce(F.col(key), F.col("__k")).alias(key), problem.alias("problem")).filter("problem IS NOT NULL")
 
 
-def content_hash(df: DataFrame, order: str) -> DataFrame:
-    """One row with a hash over all rows in order: for reference tables of a bounded size."""
-    line = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])
-    return df.select(F.struct(F.col(order).alias("o"), line.alias("l")).alias("s")).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["l"]), "\n"), 256).alias("content_hash"))
+def content_hash(df: DataFrame, order: str, block: int = 10_000) -> DataFrame:
+    """One row: a hash over all rows in order, of repeated orders by the row's own hash.
+
+    A row's hash is over its values with their lengths, so that no two rows share it, and null is apart from empty. Rows
+    are numbered by range and hashed a block at a time; the last hash is over one line for every block.
+    """
+    value = lambda c: F.concat(F.lit("V"), F.length(F.col(c).cast("string")), F.lit(":"), F.col(c).cast("string"))
+    line = F.concat(*[F.coalesce(value(c), F.lit("N")) for c in df.columns])
+    rows = df.select(F.struct(F.col(order).alias("o"), F.sha2(line, 256).alias("h")).alias("s"))
+    told = numbered(rows, "s", "n").groupBy(F.floor(F.col("n") / block).alias("b")).agg(F.sort_array(F.collect_list("s")).alias("s"))
+    blocks = told.select("b", F.sha2(F.array_join("s.h", "\n"), 256).alias("h"))
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("b", "h"))), lambda s: s["h"]), "\n")
+    return blocks.agg(F.sha2(joined, 256).alias("content_hash"))
 
 
 def unique_row(df: DataFrame, limit: int = 10) -> dict:

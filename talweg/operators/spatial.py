@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from talweg.functions.geo import planar_m, segment_m
+from talweg.operators.stages import cut
 
 
 def cell(x: Column, y: Column, size: float) -> list[Column]:
@@ -38,41 +39,55 @@ def self_pairs(points: DataFrame, key: str, radius: float) -> DataFrame:
     return radius_join(slim, slim, radius).filter("id < r_id").select(F.col("id").alias("a"), F.col("r_id").alias("b"), "dist_m")
 
 
-def nearest(left: DataFrame, right: DataFrame, key: str, order: str, size: float, k: int = 1, by: str | None = None, grow: int = 6) -> DataFrame:
+def _placed(c: str = "") -> Column:
+    """Whether a row has a place: both coordinates, neither NaN."""
+    return F.col(f"{c}x").isNotNull() & ~F.isnan(f"{c}x") & F.col(f"{c}y").isNotNull() & ~F.isnan(f"{c}y")
+
+
+def nearest(left: DataFrame, right: DataFrame, key: str, order: str, size: float, k: int = 1, by: str | None = None) -> DataFrame:
     """left.* with the k nearest right rows (of each value of `by`): rank, r_ columns and dist_m; ties by `order`.
 
+    A left join: a left row that finds nothing, for want of a place or of right rows, stays once (once for every value of
+    `by`) with nulls. Right rows without a place are never found. Left rows are told apart by number, so `key` may repeat;
+    it names no part of the search.
+
     Rings of cells around each left row are searched, twice as wide for rows that are not yet settled: a row is settled
-    when its k-th distance is within the ring. After `grow` rounds the few rows left meet all of the right side.
+    when its k-th distance is within the ring. A ring that is wider than all of the right side settles the rest, and none
+    wider is tried; only rows with fewer than k right rows, or far away from all of them, come so far.
     """
-    kinds = right.select(by).distinct() if by else None
-    far = right.select(*[F.col(c).alias(f"r_{c}") for c in right.columns])
-    window = Window.partitionBy("__id", *([f"r_{by}"] if by else [])).orderBy("dist_m", f"r_{order}")
-    left = left.withColumn("__id", F.col(key))
-    todo, done, width = left.join(F.broadcast(kinds.withColumnRenamed(by, "__by"))) if by else left, None, size
-    for step in range(grow + 1):
-        last = step == grow
-        if last:
-            pairs = todo.join(far, F.col("__by") == F.col(f"r_{by}")) if by else todo.join(far)
-        else:
-            placed = far.withColumns({"cx": F.floor(F.col("r_x") / width), "cy": F.floor(F.col("r_y") / width)})
-            ring = _around(todo, width)
-            same = (ring["cx"] == placed["cx"]) & (ring["cy"] == placed["cy"])
-            pairs = ring.join(placed, same & (F.col("__by") == F.col(f"r_{by}")) if by else same).drop("cx", "cy")
+    far = right.filter(_placed()).select(*[F.col(c).alias(f"r_{c}") for c in right.columns])
+    rows = cut(left.withColumn("__id", F.monotonically_increasing_id()))
+    if by:
+        kinds = right.select(F.col(by).alias("__by")).distinct()
+        rows = rows.join(kinds, F.lit(True), "left")  # a value of `by` is a kind of facility: few
+    keys = ["__id", "__by"] if by else ["__id"]
+    same_kind = F.col("__by").eqNullSafe(F.col(f"r_{by}")) if by else F.lit(True)
+    window = Window.partitionBy(*keys).orderBy("dist_m", f"r_{order}")
+    todo, found, width = cut(rows.filter(_placed()).select(*keys, "x", "y")), None, size
+    ends = todo.select("x", "y").union(far.select("r_x", "r_y")).agg(*[f(c) for c in ("x", "y") for f in (F.min, F.max)]).first()
+    extent = max(ends[1] - ends[0], ends[3] - ends[2]) if ends[0] is not None else 0.0
+    while not todo.isEmpty():
+        placed = far.withColumns({"cx": F.floor(F.col("r_x") / width), "cy": F.floor(F.col("r_y") / width)})
+        ring = _around(todo, width)
+        pairs = ring.join(placed, (ring["cx"] == placed["cx"]) & (ring["cy"] == placed["cy"]) & same_kind).drop("cx", "cy")
         ranked = pairs.withColumn("dist_m", planar_m(F.col("x"), F.col("y"), F.col("r_x"), F.col("r_y"))).withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
-        if last:
-            found = ranked
-        else:
-            full = F.max(F.when((F.col("rank") == k) & (F.col("dist_m") <= width), True)).over(Window.partitionBy("__id", *([f"r_{by}"] if by else [])))
-            found = ranked.withColumn("__full", full).filter("__full").drop("__full").checkpoint() if _has_dir(ranked) else ranked.withColumn("__full", full).filter("__full").drop("__full")
-            keys = ["__id", "__by"] if by else ["__id"]
-            todo = todo.join(found.select(*keys).distinct(), keys, "left_anti")
-        done = found if done is None else done.unionByName(found)
+        if width < extent:
+            full = F.max(F.when((F.col("rank") == k) & (F.col("dist_m") <= width), True)).over(Window.partitionBy(*keys))
+            ranked = ranked.withColumn("__full", full).filter("__full").drop("__full")
+        ranked = cut(ranked.drop("x", "y"))
+        found = ranked if found is None else found.unionByName(ranked)
+        if width >= extent:
+            break
+        settled = ranked.select(*[F.col(c).alias(f"{c}s") for c in keys]).distinct()
+        todo = cut(todo.join(settled, [F.col(c).eqNullSafe(F.col(f"{c}s")) for c in keys], "left_anti"))
         width *= 2
-    return done.drop("__id", *(["__by"] if by else []))
-
-
-def _has_dir(df: DataFrame) -> bool:
-    return bool(df.sparkSession.sparkContext.getCheckpointDir())
+    if found is None:
+        empty = [F.lit(None).cast(t).alias(c) for c, t in [("dist_m", "double"), ("rank", "int"), *far.dtypes]]
+        return rows.select(*left.columns, *empty) if not by else rows.select(*left.columns, *[F.col("__by").alias(c) if c == f"r_{by}" else e for (c, _), e in zip([("", ""), ("", ""), *far.dtypes], empty)])
+    found = found.withColumnsRenamed({c: f"{c}f" for c in keys})
+    joined = rows.join(found, [F.col(c).eqNullSafe(F.col(f"{c}f")) for c in keys], "left")
+    kind = {f"r_{by}": F.coalesce(f"r_{by}", "__by")} if by else {}
+    return joined.withColumns(kind).select(*left.columns, *[c for c in found.columns if c not in ("__idf", "__byf")])
 
 
 def knn_small(left: DataFrame, right: DataFrame, key: str, order: str, k: int, by: str | None = None, distance: Column | None = None) -> DataFrame:

@@ -32,10 +32,15 @@ def missing_districts(spark, sf):
 
 
 def station_waterfall(spark, sf):
+    """Suppliers as terminals, named after nations in several ways; stations of the nations, hubs of the regions."""
     n = t.read(spark, sf, "nation")
-    wanted = t.read(spark, sf, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.when(F.col("s_suppkey") % 3 == 0, F.concat("n_name", F.lit(" Junction"))).when(F.col("s_suppkey") % 3 == 1, F.concat(F.lit("New "), "n_name", F.lit(" yard"))).otherwise(F.lit("Nowhere 12345")).alias("name"), F.when(F.col("s_suppkey") % 2 == 0, F.col("n_regionkey").cast("string")).otherwise("x").alias("state"))
-    stations = n.select(F.col("n_nationkey").alias("code"), F.concat("n_name", F.lit(" Road")).alias("name"), F.col("n_regionkey").cast("string").alias("state"))
-    return builders.match_stations(wanted, stations, "s_suppkey").select("s_suppkey", "s_code", "tier")
+    way, name = F.col("s_suppkey") % 6, F.col("n_name")
+    asked = F.when(way == 0, F.concat(name, F.lit(" Junction (new)"))).when(way == 1, F.substring(name, 1, 4)).when(way == 2, F.concat(F.substring(name, 1, 5), F.lit("x"), F.substring(name, 6, 30)))
+    asked = asked.when(way == 3, F.lit("Nowhere 12345")).when(way == 4, F.concat(F.initcap(F.substring(name, 1, 3)), F.lit(" - dock")))
+    wanted = t.read(spark, sf, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", asked.alias("name"), F.when(F.col("s_suppkey") % 4 < 3, F.col("n_regionkey").cast("string")).otherwise("x").alias("state"))
+    stations = n.select(F.col("n_nationkey").alias("code"), F.concat("n_name", F.lit(" Road")).alias("name"), F.col("n_regionkey").cast("string").alias("state"), ((F.col("n_nationkey") * 7) % 25).alias("src_order"))
+    ports = t.read(spark, sf, "region").select(F.concat(F.lit("Port of nowhere "), "r_name").alias("name"), F.col("r_regionkey").alias("src_order"))
+    return builders.match_stations(wanted, stations, "s_suppkey", (ports,)).select("s_suppkey", "s_code", "tier", "s_hub")
 
 
 def plaza_clusters(spark, sf):

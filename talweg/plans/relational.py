@@ -197,7 +197,8 @@ def baseline_drift(spark, sf):
 
 
 def content_hash(spark, sf):
-    return r.content_hash(t.read(spark, sf, "region").select("r_regionkey", "r_name"), "r_regionkey")
+    o = t.read(spark, sf, "orders")
+    return r.content_hash(o.select("o_orderkey", "o_custkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderstatus")).alias("status")), "o_orderkey")
 
 
 def quality_checks(spark, sf):
@@ -305,7 +306,7 @@ ORACLE_SQL = {
     "set_differences": "WITH a AS (SELECT DISTINCT c_nationkey AS k FROM customer), b AS (SELECT DISTINCT s_nationkey AS k FROM supplier) SELECT k, 'missing' AS side FROM (SELECT k FROM a EXCEPT SELECT k FROM b) UNION ALL SELECT k, 'both' FROM (SELECT k FROM a INTERSECT SELECT k FROM b)",
     "frame_diff": "SELECT n_nationkey::BIGINT AS k, CASE WHEN n_nationkey = 3 THEN 'missing right' ELSE 'different' END AS problem FROM nation WHERE n_nationkey IN (3, 5, 7)",
     "baseline_drift": "SELECT dataset, n AS rows, CASE WHEN n % 2 = 1 THEN 'WARN' ELSE 'PASS' END AS status FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS dataset, count(*) AS n FROM {n}" for n in ("nation", "region", "customer", "supplier", "orders")) + ")",
-    "content_hash": "SELECT sha256(string_agg(r_regionkey || '|' || r_name, chr(10) ORDER BY r_regionkey)) AS content_hash FROM region",
+    "content_hash": "WITH r AS (SELECT o_orderkey AS k, sha256('V' || length(o_orderkey::VARCHAR) || ':' || o_orderkey || coalesce('V' || length(o_custkey::VARCHAR) || ':' || o_custkey, 'N') || CASE WHEN o_orderkey % 7 <> 0 AND o_orderstatus IS NOT NULL THEN 'V' || length(o_orderstatus) || ':' || o_orderstatus ELSE 'N' END) AS h FROM orders), n AS (SELECT *, (row_number() OVER (ORDER BY k, h) - 1) // 10000 AS b FROM r), g AS (SELECT b, sha256(string_agg(h, chr(10) ORDER BY k, h)) AS h FROM n GROUP BY b) SELECT sha256(string_agg(h, chr(10) ORDER BY b)) AS content_hash FROM g",
     "quality_checks": f"WITH {_CHECKS} SELECT * FROM z",
     "status_counts": f"WITH {_CHECKS} SELECT status, count(*) AS n FROM z GROUP BY status",
     "scorecard": t.with_("site", "hub", "district") + ", n AS (SELECT DISTINCT c_nationkey, c_custkey FROM site s JOIN hub h ON sqrt((s.x - h.x) * (s.x - h.x) + (s.y - h.y) * (s.y - h.y)) <= 50000), k AS (SELECT c_nationkey, count(*) AS near FROM n GROUP BY 1) SELECT district_code, district, state, population, (sum(population) OVER (PARTITION BY state))::BIGINT AS state_population, round(coalesce(near, 0) * 1000 / population * 100, 2) AS near_pct FROM district LEFT JOIN k ON c_nationkey = district_code",
