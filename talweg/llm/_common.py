@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +25,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset a folder of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset, under a local master only, a folder of our own."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="talweg-")
         atexit.register(shutil.rmtree, found, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(found)
@@ -73,6 +76,12 @@ def with_outputs(df: DataFrame, **columns: Column) -> DataFrame:
     return df.withColumns(columns)
 
 
+def hidden(df: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """df with its other columns under private names, so that none clashes with an operator's, and what gives df's columns back."""
+    other = {x: f"__own{i}" for i, x in enumerate(df.columns) if x not in needed}
+    return df.withColumnsRenamed(other), lambda done: done.select(*[F.col(other.get(x, x)).alias(x) for x in df.columns])
+
+
 def window_hashes(w: str, size: int = 5) -> Column:
     """64-bit hashes of the word windows of the array column w, one per position; a shorter array counts as one window, an empty one as none."""
     at = ", ".join(f"get({w}, i + {k})" for k in range(size))
