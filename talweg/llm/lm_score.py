@@ -10,8 +10,9 @@ An automaton of the whole corpus has no bound, so none is broadcast. Documents a
 shard sends what it has of each n-gram to that n-gram's key range, there all shards' counts meet, and the total goes back
 to the shards that hold the n-gram, unless it is the shard's own count. So each shard gets exactly the arcs and states its
 own texts can reach, with the counts of the whole corpus, and passes through each text once from left to right: the state
-at a word is the longest known suffix of what was read, and the log-probabilities along the path add up. (The states of
-all positions of a shard are looked up together, which is the same walk in array form.)
+at a word is the longest known suffix of what was read, and the log-probabilities along the path add up. All texts of a
+shard take their next step together, each with the state it carries; where a state has no arc for the word, its failure
+arc is taken, as often as need be.
 
 Tokens are lower-cased (A-Z) runs of other than ASCII white space, then one end token per text. Keys are 64-bit hashes.
 
@@ -121,6 +122,61 @@ def _answer(order: int):
     return answer
 
 
+class Automaton:
+    """States, arcs and failure arcs for the n-grams of a shard, whose counts are those of the whole corpus.
+
+    The state of a history of k words is its n-gram's number among those of k words; the root is the empty history. An
+    arc is an n-gram with a count: it leaves the state of all words but the last. A state's failure arc leads to the
+    history without its first word.
+    """
+
+    def __init__(self, shard: Shard, n: int, v: int, mu: float):
+        self.shard, self.order = shard, len(shard.keys)
+        seen = shard.counts[0]
+        self.base = np.log10((seen + ALPHA) / (n + ALPHA * (v + 1)))
+        self.known = [np.ones(len(seen), bool)]  # the root has an arc for every word
+        self.arcs, self.fails = [self.base], [np.zeros(len(seen))]
+        low = 10.0**self.base
+        for k in range(1, self.order):
+            count, here = shard.counts[k], np.flatnonzero(shard.place >= k)
+            history, suffix = np.zeros(len(count), np.int64), np.zeros(len(count), np.int64)
+            history[shard.inverse[k][here]] = shard.inverse[k - 1][here - 1]
+            suffix[shard.inverse[k][here]] = shard.inverse[k - 1][here]
+            total = shard.counts[k - 1][history]
+            low = np.where(total > 0, (count + mu * low[suffix]) / (total + mu), low[suffix])
+            self.known.append(count > 0)
+            self.arcs.append(np.log10(low))
+            self.fails.append(np.log10(mu / (total + mu)))  # of the state an n-gram leaves
+
+    def walk(self) -> np.ndarray:
+        """The log10 probability of each text: one pass, the length of the history as the state carried along."""
+        shard, texts = self.shard, int(self.shard.doc[-1]) + 1 if len(self.shard.doc) else 0
+        starts = np.flatnonzero(shard.place == 0)
+        sizes = np.diff([*starts, len(shard.place)])
+        longest = np.argsort(-sizes, kind="stable")
+        sum_, states = np.zeros(texts), np.zeros(texts, np.int64)
+        if self.order > 1:  # a text begins in the state of its start, where the corpus has one
+            states = (shard.counts[0][shard.inverse[0][starts]] > 0).astype(np.int64)
+        active = texts
+        for step in range(1, int(sizes.max(initial=0))):
+            while active and sizes[longest[active - 1]] <= step:
+                active -= 1
+            who = longest[:active]
+            at, level, gain = starts[who] + step, states[who], np.zeros(active)
+            for k in range(self.order - 1, -1, -1):
+                mine = np.flatnonzero(level == k)
+                if len(mine):
+                    arc = shard.inverse[k][at[mine]]
+                    found = self.known[k][arc]
+                    gain[mine] += np.where(found, self.arcs[k][arc], self.fails[k][arc])
+                    # an arc leads to the history it makes, as far as states go; an unknown word to the root; a failure one down
+                    last = found & (shard.counts[k][arc] > 0)
+                    level[mine] = np.where(found, np.where(last, -1 - min(k + 1, self.order - 1), -1), k - 1)
+            sum_[who] += gain
+            states[who] = -1 - level
+        return sum_
+
+
 def _walk(order: int, mu: float):
     def walk(key: tuple, pdf: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         ids = _ids(pdf)
@@ -130,27 +186,18 @@ def _walk(order: int, mu: float):
             for keys, counts in zip(answers["keys"], answers["counts"]):
                 shard.counts[k][np.searchsorted(shard.keys[k], blobs.unpack(keys[k]))] = blobs.unpack(counts[k]).astype(np.int64)
         n, v = int(answers["n_tokens"].sum()), int(answers["n_types"].sum())
+        automaton = Automaton(shard, n, v, mu)
         read = shard.place > 0  # every token but the starts
-        seen = shard.counts[0][shard.inverse[0]]
-        base = np.log10((seen + ALPHA) / (n + ALPHA * (v + 1)))
-        weight = 10.0**base
-        for k in range(1, order):  # from the root up: the arc of the longer history, or its failure arc
-            there = shard.place >= k
-            state = np.zeros(len(seen), np.int64)
-            state[1:] = shard.counts[k - 1][shard.inverse[k - 1]][:-1]  # count of the history that ends before the token
-            arc = shard.counts[k][shard.inverse[k]]
-            weight = np.where(there & (state > 0), (np.where(there, arc, 0) + mu * weight) / (state + mu), weight)
-        doc, size = shard.doc[read], len(ids)
-        add = lambda x: np.bincount(doc, x[read], size)
+        word, doc, size = shard.inverse[0][read], shard.doc[read], len(ids)
         return pd.DataFrame(
             {
                 "doc_id": pd.array(ids, "Int64"),
                 "held_out": out,
-                "n_tokens": add(np.ones(len(seen))).astype(np.int64),
-                "n_known": add((seen > 0).astype(float)).astype(np.int64),
+                "n_tokens": np.bincount(doc, minlength=size).astype(np.int64),
+                "n_known": np.bincount(doc, shard.counts[0][word] > 0, size).astype(np.int64),
                 "train_tokens": n,
-                "base_score": np.round(add(base), 6),
-                "score": np.round(add(np.log10(weight)), 6),
+                "base_score": np.round(np.bincount(doc, automaton.base[word], size), 6),
+                "score": np.round(automaton.walk(), 6),
             }
         )
 
