@@ -26,6 +26,8 @@ MAX_SYMBOL_PERCENT, MAX_DUP_LINE_PERCENT, MAX_MEAN_WORD = 10, 30, 20
 SUSPECT, BLOCKED = 0.3, 0.8
 #: Bounds of the prior's weight, in documents.
 PRIOR_MIN, PRIOR_MAX = 1.0, 1000.0
+#: Documents beyond one a host, about, from which the prior is fitted.
+ROOM = 0.5
 RULES = ("base", "symbols", "lines", "length")
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -68,8 +70,10 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
 def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
     """One row per host: documents, and each rule's failures and shrunk rate.
 
-    The prior is Beta(m*s, (1-m)*s): m the rate over all hosts, s = m(1-m)/v - 1 from the variance v of the hosts' rates
-    (weighted by their documents), held between PRIOR_MIN and PRIOR_MAX.
+    The prior is Beta(m*s, (1-m)*s): m the rate over all hosts, s = 1/r - 1 from the correlation r of documents of one
+    host. With N documents, n_i of them on each of H hosts, sum n_i (p_i - m)^2 is expected to be
+    m(1-m) (H - 1 + r (N - sum n_i^2 / N - H + 1)): what one finds, less what chance alone makes, gives r. Hosts of one
+    document each say nothing about r; they are shrunk as much as PRIOR_MAX allows.
     """
     counts = c.cut(
         measured.filter(F.col(host).isNotNull())
@@ -79,11 +83,15 @@ def host_rates(measured: DataFrame, host: str = "source") -> DataFrame:
     means = counts.agg(*[(F.sum(f"k_{r}") / F.sum("n_docs")).alias(r) for r in RULES]).first()
     if means[0] is None:
         return counts.select("*", *[F.lit(0.0).alias(f"rate_{r}") for r in RULES])
-    spread = counts.agg(*[(F.sum(F.col("n_docs") * F.pow(F.col(f"k_{r}") / F.col("n_docs") - F.lit(means[r]), F.lit(2.0))) / F.sum("n_docs")).alias(r) for r in RULES]).first()
+    spreads = [F.sum(F.col("n_docs") * F.pow(F.col(f"k_{r}") / F.col("n_docs") - F.lit(means[r]), F.lit(2.0))).alias(r) for r in RULES]
+    room = (F.sum("n_docs") - F.sum(F.col("n_docs") * F.col("n_docs")) / F.sum("n_docs") - F.count("*") + 1).alias("room")
+    spread = counts.agg(F.count("*").alias("hosts"), room, *spreads).first()
 
     def shrunk(r: str) -> Column:
-        m, v = means[r], spread[r]
-        s = min(max(m * (1 - m) / v - 1, PRIOR_MIN), PRIOR_MAX) if v > 0 else PRIOR_MAX
+        m = means[r]
+        excess = spread[r] / (m * (1 - m)) - (spread["hosts"] - 1) if 0 < m < 1 else 0.0
+        share = min(excess / spread["room"], 1.0) if spread["room"] > ROOM and excess > 0 else 0.0
+        s = min(max(1 / share - 1, PRIOR_MIN), PRIOR_MAX) if share > 0 else PRIOR_MAX
         return ((F.col(f"k_{r}") + m * s) / (F.col("n_docs") + s)).alias(f"rate_{r}")
 
     return counts.select("*", *[shrunk(r) for r in RULES])
@@ -111,7 +119,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return c.filter_settled(host_rules(docs), F.col("kept")).select(docs.columns)
+    own, restore = c.hidden(docs, "text", "source")
+    return restore(c.filter_settled(host_rules(own), F.col("kept")))
 
 
 def sql(source: str = "documents") -> str:
@@ -121,8 +130,9 @@ def sql(source: str = "documents") -> str:
     fails = ", ".join(f"{x} AS f_{r}" for r, x in rules.items())
     sums = ", ".join(f"sum(f_{r}::BIGINT) AS k_{r}" for r in rules)
     means = ", ".join(f"sum(k_{r}) / sum(n_docs) AS m_{r}" for r in rules)
-    spread = ", ".join(f"sum(n_docs * pow(k_{r} / n_docs - m_{r}, 2)) / sum(n_docs) AS v_{r}" for r in rules)
-    weight = ", ".join(f"CASE WHEN v_{r} > 0 THEN least(greatest(m_{r} * (1 - m_{r}) / v_{r} - 1, {PRIOR_MIN}), {PRIOR_MAX}) ELSE {PRIOR_MAX} END AS s_{r}" for r in rules)
+    spread = ", ".join(f"sum(n_docs * pow(k_{r} / n_docs - m_{r}, 2)) AS v_{r}" for r in rules)
+    excess = ", ".join(f"CASE WHEN m_{r} > 0 AND m_{r} < 1 THEN v_{r} / (m_{r} * (1 - m_{r})) - (hosts - 1) ELSE 0 END AS e_{r}" for r in rules)
+    weight = ", ".join(f"CASE WHEN room > {ROOM} AND e_{r} > 0 THEN least(greatest(1 / least(e_{r} / room, 1.0::DOUBLE) - 1, {PRIOR_MIN}), {PRIOR_MAX}) ELSE {PRIOR_MAX} END AS s_{r}" for r in rules)
     rate = ", ".join(f"(k_{r} + m_{r} * s_{r}) / (n_docs + s_{r}) AS rate_{r}" for r in rules)
     caught = " OR ".join(f"(f_{r} AND coalesce(rate_{r} >= {SUSPECT}, false))" for r in RULES[1:])
     return rf"""
@@ -136,7 +146,8 @@ m AS (SELECT t1.r, doc_id, source, len(w)::BIGINT AS n_words, length(array_to_st
 b AS (SELECT *, (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) AS base_failed FROM m),
 f AS (SELECT *, {fails} FROM b),
 h AS (SELECT source, count(*) AS n_docs, {sums} FROM f WHERE source IS NOT NULL GROUP BY source),
-a AS (SELECT {means} FROM h), v AS (SELECT {spread} FROM h, a), s AS (SELECT {weight} FROM a, v),
+a AS (SELECT {means} FROM h), v AS (SELECT count(*) AS hosts, sum(n_docs) - sum(n_docs * n_docs)::DOUBLE / sum(n_docs) - count(*) + 1 AS room, {spread} FROM h, a),
+x AS (SELECT room, {excess} FROM a, v), s AS (SELECT {weight} FROM x),
 k AS (SELECT source, {rate} FROM h, a, s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
  NOT base_failed AND NOT coalesce(rate_base >= {BLOCKED}, false) AND NOT ({caught}) AS kept, coalesce(rate_base >= {BLOCKED}, false) AS host_blocked
