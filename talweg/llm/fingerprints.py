@@ -3,10 +3,12 @@
 A text's sketch holds every 64-bit hash of its 5-word shingles (A-Z lower-cased) that falls below FRACTION of the hash
 range. Sketches of any two texts are samples of their shingle sets by the same rule, so the union of two sketches is the
 sketch of the union, and shared hashes over the smaller sketch estimate containment even between a sentence and a book.
-A text with shingles of which none falls below the threshold keeps its smallest one, so that short texts can be compared.
+A text with shingles of which none falls below the threshold has an empty sketch; its least hash is held apart, so that
+short texts can be compared without adding to the sketch what the rule leaves out.
 
-The fingerprint is the sketch's hashes in ascending order, 16 hexadecimal digits each. `likeness` is the estimate of the
-Jaccard similarity, `containment` the share of the first sketch that the second holds; two empty sketches are alike (1.0).
+The fingerprint is the sketch's hashes in ascending order, 16 hexadecimal digits each; where there are none, a tilde and
+the least hash. `likeness` is the estimate of the Jaccard similarity, `containment` the share of the first sketch that the
+second holds. Texts with empty sketches are alike (1.0) when they have the same least hash or both no shingles, else 0.
 
 Defined results: null is an empty text with an empty fingerprint; of rows that repeat an id, the smallest text is the one
 that the preceding id continues with, and each row is answered; rows with a null id have no next document; one document
@@ -26,30 +28,38 @@ SCALE = 8
 
 
 def with_sketch(df: DataFrame, text: str, out: str, scale: int = SCALE) -> DataFrame:
-    """df with the sketch of the text column: ascending distinct hashes."""
+    """df with the sketch of the text column: struct of ascending distinct `hashes`, and the `least` hash where there are none."""
     limit = -(2**63) + 2**64 // scale
     df = df.withColumn("__w", c.words(c.lower_ascii(c.text_or_empty(text)))).withColumn("__h", c.window_hashes("__w"))
     df = df.withColumn("__k", F.filter("__h", lambda h: h < F.lit(limit)))
-    some = F.when(F.size("__k") > 0, F.sort_array(F.array_distinct("__k"))).when(F.size("__h") > 0, F.array(F.array_min("__h"))).otherwise(F.col("__k"))
-    return df.withColumn(out, some).drop("__w", "__h", "__k")
+    least = F.when(F.size("__k") == 0, F.array_min("__h"))
+    return df.withColumn(out, F.struct(F.sort_array(F.array_distinct("__k")).alias("hashes"), least.alias("least"))).drop("__w", "__h", "__k")
+
+
+def _hex(h: Column) -> Column:
+    return F.lpad(F.lower(F.hex(h)), 16, "0")
 
 
 def fingerprint(sketch: Column) -> Column:
-    return F.array_join(F.transform(sketch, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
+    hashes = F.array_join(F.transform(sketch["hashes"], _hex), "")
+    return F.when(sketch["least"].isNotNull(), F.concat(F.lit("~"), _hex(sketch["least"]))).otherwise(hashes)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    both, shared = F.size(F.array_union(a, b)), F.size(F.array_intersect(a, b))
-    return F.when(both == 0, F.lit(1.0)).otherwise(shared / both)
+    both, shared = F.size(F.array_union(a["hashes"], b["hashes"])), F.size(F.array_intersect(a["hashes"], b["hashes"]))
+    return F.when(a.isNotNull() & b.isNotNull(), F.when(both == 0, a["least"].eqNullSafe(b["least"]).cast("double")).otherwise(shared / both))
 
 
 def containment(a: Column, b: Column) -> Column:
-    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
+    own = F.size(a["hashes"])
+    alone = F.when(a["least"].isNull(), F.lit(1.0)).otherwise((a["least"] == b["least"]).cast("double"))
+    return F.when(own == 0, F.coalesce(alone, F.lit(0.0))).otherwise(F.size(F.array_intersect(a["hashes"], b["hashes"])) / own)
 
 
 def merge(sketches: Column) -> Column:
     """The sketch of the union: for an array of sketches, as collect_list gives them."""
-    return F.sort_array(F.array_distinct(F.flatten(sketches)))
+    hashes = F.sort_array(F.array_distinct(F.flatten(sketches["hashes"])))
+    return F.struct(hashes.alias("hashes"), F.when(F.size(hashes) == 0, F.array_min(sketches["least"])).alias("least"))
 
 
 def previous_ids(ids: DataFrame) -> DataFrame:
