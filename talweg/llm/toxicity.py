@@ -112,7 +112,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, trainable: Column, rows:
     totals = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
     part = [known.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows // 2) for k in (0, 1)]
     taken = F.broadcast(part[0].union(part[1]))  # at most `rows` rows
-    sample = docs.select("doc_id", "text").join(taken, "doc_id").dropDuplicates(["doc_id"])
+    # of rows that repeat an id, the smallest text
+    sample = docs.select("doc_id", "text").join(taken, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     took = {k: max(1, min(totals.get(k, 0), rows // 2)) for k in (0, 1)}
     return c.cut(sample.select("text", "label", F.xxhash64("doc_id").alias("seed"))), (totals.get(0, 0) / took[0]) / max(1.0, totals.get(1, 0) / took[1])
 
@@ -209,7 +210,7 @@ def trained(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Model:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = c.documents(spark, sf_dir).select("doc_id", "text")
     scored = score(docs, trained(spark, docs, sf_dir))
-    return scored.select("doc_id", (fold_column() == 1).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(fold_column() == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
