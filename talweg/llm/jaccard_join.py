@@ -290,6 +290,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     first = members.filter("doc_id = component_id").select("doc_id").distinct()
     kept = docs.filter("doc_id IS NOT NULL").join(first.hint("merge"), "doc_id", "left_semi")
     repeated = members.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    plain = [x for x, kind in docs.dtypes if "map" not in kind and "variant" not in kind]
     once = kept.join(repeated, "doc_id", "left_anti")
-    first_text = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", *[x for x in docs.columns if x not in ("doc_id", "text")])).alias("s"))
+    first_text = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*[x for x in docs.columns if x != "doc_id"]), F.struct("text", F.xxhash64(*plain))).alias("s"))
     return once.select(docs.columns).union(first_text.select("doc_id", "s.*").select(docs.columns)).union(docs.filter("doc_id IS NULL"))
