@@ -1,10 +1,12 @@
 """WARC archives packaged in ZIP files: a writer, and a reader that extracts nothing.
 
-A package is a ZIP file with two stored members: archive/data.warc.gz, every record compressed by itself as is usual for
-archives on the web, and indexes/index.cdxj (one JSON line per record: its page id, offset in the member and length). The reader parses the end-of-central-directory record, the ZIP64 locator and
-record, and the central directory with its ZIP64 extra fields, finds where the stored members lie in the file, reads the
-index, and then reads records by byte range. Ranges, not files, are dealt out to tasks, so one large package is read by
-many.
+A package is a ZIP file of stored members: archives below archive/, every record compressed by itself as is usual for
+archives on the web, and indexes below indexes/ (a line per record, whose JSON part gives its offset in the archive member
+of that file name, and its length). Packages written here have one of each. The reader parses the end-of-central-directory
+record, the ZIP64 locator and record, and the central directory with its ZIP64 extra fields, finds where the stored
+members lie in the file, reads every index, and then reads records by byte range. Ranges, not files, are dealt out to
+tasks, so one large package is read by many. An archive that no index names, an index line without its archive, and a
+compressed member are errors.
 
 Packages are written by tasks into the shared folder through Arrow file systems. Every attempt of a task writes files of
 its own names, and only what successful attempts report is read, so lost executors and repeated attempts do no harm.
@@ -37,9 +39,11 @@ MIN_REVISIT = 1000
 PACKAGE_BYTES, RANGE_BYTES = 16 << 20, 1 << 20
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-WARC, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+ARCHIVES, INDEXES = "archive/", "indexes/"
+DATA = "data.warc.gz"
 LEVEL = 3
-RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
+#: Size and digest are those of the full payload, as the record states them; a revisit has no payload of its own.
+RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
 
 
 # --- records -----------------------------------------------------------------------------------------------------------
@@ -78,7 +82,7 @@ def parse_record(raw: bytes) -> tuple:
     kind = head["WARC-Type"]
     if kind == "response" and (len(payload) != size or hashlib.sha1(payload).hexdigest() != digest):
         raise ValueError(f"payload of {head['WARC-Record-ID']} differs from its digest")
-    return number(head["WARC-Record-ID"]), size, digest, kind, number(head.get("WARC-Refers-To")), head["WARC-Target-URI"]
+    return number(head["WARC-Record-ID"]), size, digest, kind, number(head.get("WARC-Refers-To")), head["WARC-Target-URI"], payload if kind == "response" else None
 
 
 # --- ZIP directories ---------------------------------------------------------------------------------------------------
@@ -87,6 +91,9 @@ def directory(read: Callable[[int, int], bytes], size: int) -> dict[str, tuple[i
     tail_at = max(0, size - 65_557)  # the record and the longest comment
     tail = read(tail_at, size - tail_at)
     at = tail.rfind(b"PK\x05\x06")
+    # a comment may hold the mark: the record is where the length of its comment reaches the end of the file
+    while at >= 0 and (at + 22 > len(tail) or at + 22 + struct.unpack("<H", tail[at + 20 : at + 22])[0] != len(tail)):
+        at = tail.rfind(b"PK\x05\x06", 0, at)
     if at < 0:
         raise ValueError("no end-of-central-directory record")
     count, length, start = struct.unpack("<HII", tail[at + 10 : at + 20])
@@ -113,7 +120,10 @@ def directory(read: Callable[[int, int], bytes], size: int) -> dict[str, tuple[i
                 packed = next(wide) if packed == 0xFFFFFFFF else packed
                 local = next(wide) if local == 0xFFFFFFFF else local
             extra = extra[4 + n :]
-        n_local = struct.unpack("<HH", read(local + 26, 4))
+        header = read(local, 30)
+        if header[:4] != b"PK\x03\x04":
+            raise ValueError(f"no local header where {name} should begin")
+        n_local = struct.unpack("<HH", header[26:30])
         found[name] = (local + 30 + sum(n_local), packed, method)
         at += 46 + n_name + n_extra + n_note
     return found
@@ -123,31 +133,36 @@ def package(records: list[tuple[int | None, bytes]], zip64: bool = False) -> byt
     """A ZIP file of the records (page id, bytes)."""
     out, lines, at = io.BytesIO(), [], 0
     for page_id, raw in records:
-        lines.append(json.dumps({"page_id": page_id, "offset": at, "length": len(raw)}))
+        lines.append(json.dumps({"page_id": page_id, "filename": DATA, "offset": at, "length": len(raw)}))
         at += len(raw)
     with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED, allowZip64=True) as z:
-        with z.open(zipfile.ZipInfo(WARC), "w", force_zip64=zip64 or at >= 1 << 31) as member:
+        with z.open(zipfile.ZipInfo(ARCHIVES + DATA), "w", force_zip64=zip64 or at >= 1 << 31) as member:
             for _, raw in records:
                 member.write(raw)
-        z.writestr(zipfile.ZipInfo(INDEX), "\n".join(lines))
+        z.writestr(zipfile.ZipInfo(INDEXES + "index.cdxj"), "\n".join(lines))
     return out.getvalue()
 
 
 def ranges(read: Callable[[int, int], bytes], size: int, range_bytes: int = RANGE_BYTES) -> Iterator[tuple[int, list[int]]]:
     """(offset in the file, lengths of the neighbouring records that start there), each of about range_bytes or one record."""
     members = directory(read, size)
-    (base, _, method), (index_at, index_size, index_method) = members[WARC], members[INDEX]
-    if method or index_method:
-        raise ValueError("members must be stored, not compressed")
+    used = {k: v for k, v in members.items() if k.startswith((ARCHIVES, INDEXES)) and not k.endswith("/")}
+    if packed := [name for name, (_, _, method) in used.items() if method]:
+        raise ValueError(f"members must be stored, not compressed: {packed}")
+    lines = [json.loads(line[line.index(b"{") :]) for name, (at, n, _) in used.items() if name.startswith(INDEXES) for line in read(at, n).splitlines() if line.strip()]
+    named = {ARCHIVES + x["filename"] for x in lines}
+    archives = {name: used[name][0] for name in used if name.startswith(ARCHIVES)}
+    if named != archives.keys():
+        raise ValueError(f"indexes and archives differ: {sorted(named ^ archives.keys())}")
     start, lengths = None, []
-    for line in read(index_at, index_size).splitlines():
-        x = json.loads(line)
-        if lengths and (sum(lengths) + x["length"] > range_bytes or base + x["offset"] != start + sum(lengths)):
+    for x in lines:
+        at, n = archives[ARCHIVES + x["filename"]] + int(x["offset"]), int(x["length"])
+        if lengths and (sum(lengths) + n > range_bytes or at != start + sum(lengths)):
             yield start, lengths
             lengths = []
         if not lengths:
-            start = base + x["offset"]
-        lengths.append(x["length"])
+            start = at
+        lengths.append(n)
     if lengths:
         yield start, lengths
 
@@ -166,7 +181,10 @@ def typed_records(pages: DataFrame, min_bytes: int = MIN_REVISIT) -> DataFrame:
     page = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
     page = page.withColumns({"digest": F.sha1(F.encode("html", "UTF-8")), "n": F.octet_length("html")})
     first = page.filter(F.col("n") >= min_bytes).groupBy("digest").agg(F.max("page_id").alias("first"), F.count("*").alias("copies")).filter("copies > 1").drop("copies")
-    joined = page.join(first.hint("merge"), "digest", "left")
+    # small payloads have no partner: each gets a key of its own, or all empty pages would meet in one task
+    own = F.concat(F.lit("-"), F.hex(F.xxhash64("page_id", "url")))
+    page = page.withColumn("key", F.when(F.col("n") >= min_bytes, F.col("digest")).otherwise(own))
+    joined = page.join(first.withColumnRenamed("digest", "key").hint("merge"), "key", "left")
     revisit = (F.col("n") >= min_bytes) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return joined.select("page_id", "url", "html", "digest", F.when(revisit, F.col("first")).alias("refers_to"))
 
@@ -222,8 +240,8 @@ def read_packages(packages: DataFrame, root: str) -> DataFrame:
                 for n in x["lengths"]:
                     rows.append(parse_record(raw[at : at + n]))
                     at += n
-                kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"])
+                kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url", "payload"])
 
     n = packages.sparkSession.sparkContext.defaultParallelism
     dealt = packages.repartition(n).mapInArrow(plan, "path string, start long, lengths array<long>").repartition(4 * n)
@@ -233,7 +251,8 @@ def read_packages(packages: DataFrame, root: str) -> DataFrame:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = c.fresh_path(spark, "warc")
     written = write_packages(typed_records(spark.read.parquet(f"{sf_dir}/pages.parquet")), root)
-    return read_packages(written, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    size, digest = F.coalesce(F.octet_length("payload").cast("long"), "payload_bytes"), F.coalesce(F.sha1("payload"), "payload_digest")
+    return read_packages(written, root).select("page_id", size.alias("payload_bytes"), digest.alias("payload_digest"), "record_type", "refers_to")
 
 
 def sql() -> str:
