@@ -2,33 +2,50 @@
 
 A text is split by the vocabulary's pattern. A word is a byte array with cut positions after every byte; a fold takes out,
 step by step, the cut inside the neighbouring pair of lowest rank, leftmost first, until no pair has a rank. The rank map
-is a literal: two arrays addressed by hash, each token in one of two places, so that a lookup takes two probes.
+is a literal: an array addressed by hash, each token in one of two places, so that a lookup takes two probes.
 
-Words repeat, so the fold is run once over the frequent distinct words of a sample, and its results are a second literal
-of the same build, of at most `memo_words` entries. Words that it does not hold are folded where they stand. The sample
-decides about speed alone: with any memo, or none, the ids are the same. Texts are not shuffled.
+Words repeat, so each distinct word of the table is folded once. Rows are packed in their order into shards of bounded
+size, which are dealt out compressed. A shard lists its distinct words that are no tokens; the lists meet by word, where
+the distinct words are folded; the ids go back to the shards that have the word, and each shard puts its texts together.
+A word of more than LONG_WORD bytes is merged with a heap instead, which gives the same ids in a time that hardly grows
+faster than its length.
 
-Decoding looks each id's bytes up and concatenates them.
+Decoding looks each id's bytes up and concatenates them: a string function joins the pieces, which adds and checks nothing.
 
 Defined results: a null text is empty and has no ids; null ids decode to null; repeated rows are encoded one by one; an
-empty table gives an empty table; other columns stay, except that those named like an output give way. The fold takes a
-time that grows with the square of a single word's length.
+empty table gives an empty table; other columns stay, except that those named like an output give way. Where a lost task
+is run again and its input then comes in another order, a shard misses words and the query fails rather than guess; scans
+of files keep their order, and other tables should be stored first.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 import json
+import re
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from talweg.llm import _common as c
 
 NONE = 2**31 - 1
-#: Texts whose words are counted for the memo, about; and entries of the memo at most.
-MEMO_TEXTS, MEMO_WORDS = 20_000, 120_000
+#: Bits of a pair's place, which stand below its rank: the least pair is that of lowest rank, the leftmost of them.
+PLACE_BITS = 24
+PLACES = (1 << PLACE_BITS) - 1
+NO_PAIR = NONE << PLACE_BITS
+#: Places of a fold's best pair: not looked for yet, and none left.
+OPEN, DONE = -1, -2
+#: Bytes of text in a shard, and bytes of a word beyond which a heap merges it.
+SHARD_BYTES, LONG_WORD = 40 << 20, 256
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -65,43 +82,182 @@ def two_place_table(keys: list[bytes]) -> tuple[int, list[bytes | None]]:
         bits += 1
 
 
-def _literal(values: list, kind: str) -> Column:
-    """An array literal: parsed from JSON once, when the plan is optimised."""
-    return F.from_json(F.lit(json.dumps(values, ensure_ascii=False)), f"array<{kind}>")
-
-
 def _let(value: Column, body) -> Column:
-    return F.transform(F.array(value), body)[0]
+    """body(value) with the value computed once: the end of a fold over nothing, which copies neither."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda acc, _: acc, body)
 
 
 class Table:
-    """A literal map from bytes or strings. `bound` is its two arrays as one struct, to be named once by _let: a plan holds one copy."""
+    """A literal map from bytes; `bound` is its array of slots, to be named once by _let: a plan holds one copy."""
 
-    def __init__(self, entries: dict[bytes, object], value_kind: str, strings: bool = False):
+    def __init__(self, entries: dict[bytes, int]):
         self.bits, slots = two_place_table(list(entries))
-        show = (lambda k: k.decode()) if strings else (lambda k: base64.b64encode(k).decode())
-        keys = _literal([None if k is None else show(k) for k in slots], "string" if strings else "binary")
-        values = _literal([None if k is None else entries[k] for k in slots], value_kind)
-        self.bound = F.struct(keys.alias("k"), values.alias("v"))
+        shown = [None if k is None else {"k": base64.b64encode(k).decode(), "v": entries[k]} for k in slots]
+        self.bound = F.from_json(F.lit(json.dumps(shown)), "array<struct<k: binary, v: int>>")
 
-    def find(self, bound: Column, key: Column, h: Column, otherwise: Column) -> Column:
+    def find(self, slots: Column, key: Column, h: Column, otherwise: Column) -> Column:
         """The value of the key, of which h is the xxhash64."""
         mask = F.lit((1 << self.bits) - 1)
         one, two = h.bitwiseAND(mask).cast("int"), F.shiftrightunsigned(h, 24).bitwiseAND(mask).cast("int")
-        at = lambda side, place: F.get(bound[side], place)
-        return F.when(at("k", one) == key, at("v", one)).when(at("k", two) == key, at("v", two)).otherwise(otherwise)
+        at = lambda place: F.get(slots, place)
+        return F.when(at(one)["k"] == key, at(one)["v"]).when(at(two)["k"] == key, at(two)["v"]).otherwise(otherwise)
+
+
+def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of one word: the pair of lowest rank, the leftmost of these, is merged until no pair has a rank."""
+    if word in ranks:
+        return [ranks[word]]
+    stop, back = list(range(1, len(word) + 1)), list(range(-1, len(word) - 1))
+    heap: list[tuple[int, int, int, int]] = []
+
+    def offer(at: int) -> None:
+        if at >= 0 and stop[at] < len(word):
+            found = ranks.get(word[at : stop[stop[at]]])
+            if found is not None:
+                heapq.heappush(heap, (found, at, stop[at], stop[stop[at]]))
+
+    for at in range(len(word)):
+        offer(at)
+    while heap:
+        _, at, middle, end = heapq.heappop(heap)
+        if stop[at] == middle and middle < len(word) and stop[middle] == end:
+            stop[at], stop[middle] = end, 0
+            if end < len(word):
+                back[end] = at
+            offer(back[at])
+            offer(at)
+    ids, at = [], 0
+    while at < len(word):
+        ids.append(ranks[word[at : stop[at]]])
+        at = stop[at]
+    return ids
+
+
+def possessive(pattern: str) -> str:
+    """The pattern with every run that ends its alternative taking all it can for good: the same matches in less time.
+
+    Only patterns whose groups are look-aheads without an alternative are changed.
+    """
+    if not re.fullmatch(r"[^()]*(?:\(\?[!=][^()|]*\)[^()]*)*", pattern):
+        return pattern
+    return re.sub(r"(?<![\\+*?])\+(?=\||$)", "++", pattern)
+
+
+def _pack(text: str, shard_bytes: int) -> Callable:
+    """Rows in their order, about shard_bytes of text a shard, as compressed Arrow streams."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, held, size = TaskContext.get().partitionId() << 32, [], 0
+
+        def blob() -> pa.RecordBatch:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 7))) as out:
+                for part in held:
+                    out.write_batch(part)
+            return pa.record_batch({"shard": pa.array([shard], pa.int64()), "blob": pa.array([sink.getvalue().to_pybytes()], pa.large_binary())})
+
+        for batch in batches:
+            sizes = pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False)
+            start = 0
+            for i, more in enumerate(sizes.tolist()):
+                if size and size + more > shard_bytes:
+                    if i > start:
+                        held.append(batch.slice(start, i - start))
+                    yield blob()
+                    shard, held, size, start = shard + 1, [], 0, i
+                size += more
+            if batch.num_rows > start:
+                held.append(batch.slice(start))
+        if held:
+            yield blob()
+
+    return pack
+
+
+def _read(blob: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(blob.as_py()).read_all()
+
+
+class _Places(dict):
+    """Numbers words in the order of their first use."""
+
+    def __missing__(self, word: str) -> int:
+        place = self[word] = len(self)
+        return place
+
+
+def _folded(word: str, ranks: dict[bytes, int]) -> bool:
+    """Whether a word's ids come from the fold: tokens have one id, and long words are merged with a heap."""
+    raw = word.encode()
+    return len(raw) <= LONG_WORD and raw not in ranks
+
+
+def _ask(text: str, pattern: str, ranks: Broadcast) -> Callable:
+    """The words of each shard that are to be folded, and their places among them."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
+
+        find = regex.compile(pattern).findall
+        for batch in batches:
+            for shard, blob in zip(batch["shard"], batch["blob"]):
+                found: set[str] = set()
+                for one in _read(blob)[text]:
+                    found.update(find(one.as_py() or ""))
+                words = sorted(w for w in found if _folded(w, ranks.value))
+                places = pa.array(np.arange(len(words), dtype=np.int32))
+                yield pa.record_batch({"shard": pa.array(np.full(len(words), shard.as_py())), "place": places, "word": pa.array(words, pa.large_string())})
+
+    return ask
+
+
+def _fill(text: str, out: str, pattern: str, ranks: Broadcast) -> Callable:
+    """The rows of one shard, with the ids gathered from the answers to its words."""
+
+    def fill(shards: pa.Table, answers: pa.Table) -> pa.Table:
+        import regex
+
+        find = regex.compile(pattern).findall
+        if shards.num_rows != 1:
+            raise RuntimeError(f"a shard came {shards.num_rows} times: the input's order has changed between runs of a task")
+        rows, places = _read(shards["blob"][0]), _Places()
+        at = [np.fromiter(map(places.__getitem__, find(one.as_py() or "")), np.int32) for one in rows[text]]
+        # each distinct word's ids are a range of one array
+        ids = answers["ids"].combine_chunks()
+        sizes = pc.list_value_length(ids).to_numpy()
+        asked, own = [], []
+        for w in places:
+            (asked if _folded(w, ranks.value) else own).append(w)
+        if len(asked) != len(sizes):
+            raise RuntimeError("a shard's words are not those it asked for: the input's order has changed between runs of a task")
+        merged = [heap_merge(w.encode(), ranks.value) for w in own]
+        flat = np.concatenate([ids.flatten().to_numpy(), np.array([i for word in merged for i in word], np.int32)])
+        asked = np.array([places[w] for w in sorted(asked)], np.int32)[answers["place"].to_numpy()]
+        order = np.concatenate([asked, np.array([places[w] for w in own], np.int32)])
+        count, start = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
+        count[order] = np.concatenate([sizes, np.array([len(word) for word in merged], np.int64)])
+        start[order] = np.cumsum(count[order]) - count[order]
+        values = []
+        for words in at:
+            n = count[words]
+            values.append(flat[np.repeat(start[words] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))])
+        ends = np.cumsum([0, *map(len, values)])
+        made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(values)))
+        return rows.append_column(out, made)
+
+    return fill
 
 
 class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.pattern = "(?U)" + pattern
-        self.ranks = Table(ranks, "int")
+        self.by_bytes, self.pattern = ranks, pattern
+        self.ranks = Table(ranks)
         by_id = {i: t for t, i in ranks.items()}
-        self.pieces = _literal([by_id[i].hex() if i in by_id else None for i in range(max(by_id, default=-1) + 1)], "string")
-        self.memo: Table | None = None
+        pieces = [base64.b64encode(by_id[i]).decode() if i in by_id else None for i in range(max(by_id, default=-1) + 1)]
+        self.pieces = F.from_json(F.lit(json.dumps(pieces)), "array<binary>").cast("array<string>")
 
     def words(self, text: Column) -> Column:
-        return F.regexp_extract_all(text, F.lit(self.pattern), F.lit(0))
+        return F.regexp_extract_all(text, F.lit("(?U)" + self.pattern), F.lit(0))
 
     def fold(self, word: Column) -> Column:
         """The ids of one word."""
@@ -115,48 +271,61 @@ class Codec:
 
     def _fold_bytes(self, table: Column, b: Column) -> Column:
         n = F.octet_length(b)
-        span = lambda start, stop: self._rank(table, F.substring(b, start + 1, stop - start))
 
-        def state(cuts: Column, ranks: Column) -> Column:
-            best = lambda r: F.when((F.size(r) == 0) | (F.array_min(r) == NONE), F.lit(-1)).otherwise(F.array_position(r, F.array_min(r)).cast("int") - 1)
-            return _let(ranks, lambda r: F.struct(cuts.alias("s"), r.alias("r"), best(r).alias("p")))
+        def span(start: Column, stop: Column) -> Column:
+            return self._rank(table, F.substring(b, start + 1, stop - start))
+
+        def pair(start: Column, stop: Column, place: Column) -> Column:
+            return F.shiftleft(span(start, stop).cast("long"), PLACE_BITS).bitwiseOR(place.cast("long"))
+
+        def state(cuts: Column, pairs: Column, best: Column) -> Column:
+            return F.struct(cuts.alias("s"), pairs.alias("v"), best.alias("p"))
 
         def step(acc: Column, _: Column) -> Column:
-            s, r, p = acc["s"], acc["r"], acc["p"]
-            at = lambda k: F.get(s, p + k)
-            cuts = F.concat(F.slice(s, 1, p + 1), F.slice(s, p + 3, F.size(s)))
-            # the pairs before and behind the merged one are new, the others keep their ranks
-            around = lambda j: F.when(j < p - 1, F.get(r, j)).when(j > p, F.get(r, j + 1)).otherwise(span(F.when(j == p, at(0)).otherwise(at(-1)), F.when(j == p, at(3)).otherwise(at(2))))
-            after = F.when(F.size(r) < 2, F.array().cast("array<int>")).otherwise(F.transform(F.sequence(F.lit(0), F.size(r) - 2), around))
-            return F.when(p < 0, acc).otherwise(state(cuts, after))
-
-        start = state(F.sequence(F.lit(0), n), F.transform(F.sequence(F.lit(0), n - 2), lambda i: span(i, i + 2)))
-        merged = F.aggregate(F.sequence(F.lit(1), n - 1), start, step, lambda acc: F.transform(F.sequence(F.lit(0), F.size(acc["s"]) - 2), lambda i: span(F.get(acc["s"], i), F.get(acc["s"], i + 1))))
-        return F.when(n == 0, F.array().cast("array<int>")).otherwise(_let(self._rank(table, b), lambda w: F.when((w != NONE) | (n == 1), F.array(w)).otherwise(merged)))
+            s, v, p = acc["s"], acc["v"], acc["p"]
+            lowest = F.array_min(v)
+            find = F.when(lowest < NO_PAIR, lowest.bitwiseAND(PLACES).cast("int")).otherwise(DONE)
+            # the pairs before and behind the merged one are new, those after it move up by a place
+            before, behind = pair(F.get(s, p - 1), F.get(s, p + 2), p - 1), pair(F.get(s, p), F.get(s, p + 3), p)
+            keep = lambda x, j: F.when(j < p - 1, x).when(j > p, x - 1).when(j == p, behind).otherwise(before)
+            merged = state(F.filter(s, lambda x, i: i != p + 1), F.transform(F.filter(v, lambda x, i: i != p), keep), F.lit(OPEN))
+            return F.when(p == DONE, acc).when(p == OPEN, state(s, v, find)).otherwise(merged)
+
+        def ids(acc: Column) -> Column:
+            s = acc["s"]
+            return F.transform(F.sequence(F.lit(0), F.size(s) - 2), lambda i: span(F.get(s, i), F.get(s, i + 1)))
+
+        pairs = F.transform(F.sequence(F.lit(0), n - 2), lambda i: pair(i, i + 2, i))
+        start = state(F.sequence(F.lit(0), n), pairs, F.lit(OPEN))
+        merged = F.aggregate(F.sequence(F.lit(1), 2 * n - 1), start, step, ids)
+        whole = _let(self._rank(table, b), lambda w: F.when((w != NONE) | (n == 1), F.array(w)).otherwise(merged))
+        return F.when(n == 0, F.array().cast("array<int>")).otherwise(whole)
 
     def encode(self, text: Column) -> Column:
-        """array<int>: the ids of the text, special tokens apart."""
+        """array<int>: the ids of the text, special tokens apart, with every word folded where it stands."""
         words = self.words(F.coalesce(text, F.lit("")))
-        if self.memo is None:
-            return _let(self.ranks.bound, lambda table: F.flatten(F.transform(words, lambda w: self._fold(table, w))))
-        tables = F.struct(self.ranks.bound.alias("r"), self.memo.bound.alias("m"))
-        known = lambda t, w, h: self.memo.find(t["m"], w, h, self._fold(t["r"], w))
-        return _let(tables, lambda t: F.flatten(_let(words, lambda ws: F.zip_with(ws, F.transform(ws, lambda w: F.xxhash64(w)), lambda w, h: known(t, w, h)))))
+        return _let(self.ranks.bound, lambda ranks: F.flatten(F.transform(words, lambda w: self._fold(ranks, w))))
+
+    def encoded(self, df: DataFrame, text: str = "text", ids: str = "ids", shard_bytes: int = SHARD_BYTES) -> DataFrame:
+        """df with the ids of the text as array<int>, special tokens apart."""
+        df = df.select(*[x for x in df.columns if x != ids])
+        total = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+        n = 1 + total // shard_bytes
+        ranks = df.sparkSession.sparkContext.broadcast(self.by_bytes)
+        packed = df.mapInArrow(_pack(text, shard_bytes), "shard long, blob binary").repartition(n, "shard")
+        asked = packed.mapInArrow(_ask(text, possessive(self.pattern), ranks), "shard long, place int, word string")
+        asked = asked.filter("word IS NOT NULL AND shard IS NOT NULL").repartition(n, "word")
+        # place and shard are asked for only so that the words are taken from the one exchange that the join reads as well
+        words = asked.groupBy("word").agg(F.min("shard").alias("s"), F.min("place").alias("p")).filter("s >= 0 AND p >= 0")
+        # a partition's distinct words are fewer than the rows that ask for them: they are hashed, and nothing is sorted
+        folded = words.select("word", self.fold(F.col("word")).alias("ids")).hint("shuffle_hash")
+        answers = asked.join(folded, "word").select("shard", "place", "ids")
+        schema = StructType([*df.schema.fields]).add(ids, ArrayType(IntegerType()))
+        return packed.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_fill(text, ids, possessive(self.pattern), ranks), schema)
 
     def decode(self, ids: Column) -> Column:
         """binary: the bytes of the ids."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i)), ""))
-
-    def remember(self, texts: DataFrame, text: str = "text", memo_texts: int = MEMO_TEXTS, memo_words: int = MEMO_WORDS) -> Codec:
-        """Fills the memo with the ids of frequent words."""
-        share = 1 + texts.count() // memo_texts
-        some = texts.filter(F.pmod(F.xxhash64(text), F.lit(share)) == 0)
-        words = some.select(F.explode(self.words(F.coalesce(text, F.lit("")))).alias("w")).groupBy("w").count()
-        words = c.cut(words.orderBy(F.desc("count"), "w").limit(memo_words).select("w"))
-        n = texts.sparkSession.sparkContext.defaultParallelism
-        known = {r[0].encode(): r[1] for r in words.repartition(2 * n).select("w", self.fold(F.col("w")).alias("ids")).collect()}
-        self.memo = Table(known, "array<int>", strings=True) if known else None
-        return self
+        return F.array_join(F.transform(ids, lambda i: F.get(self.pieces, i)), "").cast("binary")
 
 
 def query(spark: SparkSession, sf_dir: str, path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -165,6 +334,12 @@ def query(spark: SparkSession, sf_dir: str, path: str | None = None, pattern: st
 
         path, pattern = path or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN
     docs = c.documents(spark, sf_dir).select("doc_id", "text")
-    codec = Codec(read_ranks(path), pattern).remember(docs)
-    coded = docs.select("doc_id", codec.encode(F.col("text")).alias("ids"))
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"), F.sha2(codec.decode(F.col("ids")), 256).alias("decoded_sha256"))
+    codec = Codec(read_ranks(path), pattern)
+    coded = codec.encoded(docs).select("doc_id", "ids")
+    shown = F.btrim(F.replace(F.to_json("ids"), F.lit(","), F.lit(" ")), F.lit("[]"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(shown.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(codec.decode(F.col("ids")), 256).alias("decoded_sha256"),
+    )

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from talweg.llm import _blobs, byte_bpe, chat_format, fingerprints, jaccard_join, line_dedup, lm_score, packing, quality_rules, toxicity, warc_zip
@@ -83,26 +84,94 @@ def test_fingerprints_equal_plain_sketches(spark, sf):
         half = len(t) // 2
         edited = t[: len(t) - half] + rows[after[i]][:half]
         assert got[i].n_chars == len(t) and got[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        own, other, following = plain_sketch(t), plain_sketch(edited), plain_sketch(rows[after[i]])
+        assert got[i].fingerprint == shown(own) and got[i].edited_fingerprint == shown(other)
+        assert got[i].near_edited == pytest.approx(plain_likeness(own, other)) and got[i].near_next == pytest.approx(plain_likeness(own, following))
         a, b = shingle_set(t), shingle_set(edited)
         if len(a) > 300:
             exact.append(got[i].near_edited - len(a & b) / len(a | b))
     assert abs(np.mean(exact)) < 0.03 and np.std(exact) < 0.12
-    assert got[ids[0]].fingerprint == fingerprints_of(spark, rows[ids[0]])
 
 
-def fingerprints_of(spark, text):
-    df = fingerprints.with_sketch(spark.createDataFrame([(text,)], "t string"), "t", "s")
-    return df.select(fingerprints.fingerprint(F.col("s"))).first()[0]
+def plain_sketch(text):
+    """(hashes below the threshold, the least hash where there are none), as signed 64-bit numbers chained over words."""
+    words = ascii_words(text)
+    hashes = set()
+    for at in range(max(len(words) - 4, min(len(words), 1))):
+        h = 42
+        for w in words[at : at + 5] if len(words) >= 5 else [" ".join(words)]:
+            h = xxhash.xxh64_intdigest(w.encode(), seed=h)
+        hashes.add(h - 2**64 if h >= 2**63 else h)
+    kept = sorted(h for h in hashes if h < -(2**63) + 2**64 // fingerprints.SCALE)
+    return kept, None if kept or not hashes else min(hashes)
+
+
+def shown(sketch):
+    kept, least = sketch
+    text = lambda h: f"{h % 2**64:016x}"
+    return "".join(map(text, kept)) if least is None else "~" + text(least)
+
+
+def plain_likeness(a, b):
+    x, y = set(a[0]), set(b[0])
+    return len(x & y) / len(x | y) if x | y else float(a[1] == b[1])
 
 
 def test_sketches_merge_and_contain(spark):
     words = [f"w{i}" for i in range(4000)]
-    df = spark.createDataFrame([(" ".join(words),), (" ".join(words[:1500]),), (" ".join(words[1000:]),)], "t string")
-    a, b, c = (r.s for r in fingerprints.with_sketch(df, "t", "s").select("s").collect())
-    assert set(b) < set(a) and set(b) | set(c) == set(a)
-    row = spark.createDataFrame([(b, a, [b, c])], "b array<long>, a array<long>, both array<array<long>>")
-    assert row.select(fingerprints.containment(F.col("b"), F.col("a"))).first()[0] == 1.0
-    assert row.select(fingerprints.merge(F.col("both"))).first()[0] == a
+    texts = [" ".join(words), " ".join(words[:1500]), " ".join(words[1000:]), *(" ".join(words[i : i + 5]) for i in range(0, 200, 5)), "a b", ""]
+    df = fingerprints.with_sketch(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string"), "t", "s")
+    got = [(list(r.s.hashes), r.s.least) for r in df.orderBy("i").collect()]
+    assert got == [plain_sketch(t) for t in texts] and sum(least is not None for _, least in got[3:43]) > 30
+    a, b, c = (set(h) for h, _ in got[:3])
+    assert b < a and b | c == a
+    groups = [[0, 1], [1, 2], [3, 4, 5], list(range(3, 43)), [43, 44], [44], [1, 3]]
+    for group in groups:
+        merged = df.filter(F.col("i").isin(group)).agg(F.collect_list("s").alias("s")).select(fingerprints.merge(F.col("s")).alias("m")).first().m
+        every = sorted({h for i in group for h in got[i][0]})
+        least = [got[i][1] for i in group if got[i][1] is not None]
+        assert (list(merged.hashes), merged.least) == (every, None if every or not least else min(least))
+    pair = df.alias("x").join(df.alias("y"), F.expr("x.i IN (0, 3, 43, 44) AND y.i IN (0, 1, 3, 43, 44)"))
+    for r in pair.select("x.i", F.col("y.i").alias("j"), fingerprints.likeness(F.col("x.s"), F.col("y.s")).alias("l"), fingerprints.containment(F.col("y.s"), F.col("x.s")).alias("c")).collect():
+        x, y = got[r.i], got[r.j]
+        assert r.l == pytest.approx(plain_likeness(x, y))
+        assert r.c == pytest.approx(len(set(x[0]) & set(y[0])) / len(y[0]) if y[0] else float(y[1] is None or x[1] == y[1]))
+
+
+def test_small_hosts_are_shrunk_to_the_rate_of_all(spark, docs):
+    text = lambda i, bad: " ".join(f"{'#' * 9 if bad else ''}word{i}x{j}" for j in range(20))
+    rows = [(i, text(i, i % 10 == 0), f"host{i}") for i in range(100)]
+    single = {r.doc_id: r for r in quality_rules.host_rules(docs(rows)).collect()}
+    assert all(r.kept for r in single.values())
+    # one host of many such documents is found out, and only its own bad documents go
+    rows = [(i, text(i, i % 2 == 0 if i < 100 else i % 50 == 0), "bad" if i < 100 else f"host{i % 9}") for i in range(1000)]
+    got = {r.doc_id: r.kept for r in quality_rules.host_rules(docs(rows)).collect()}
+    assert got == {i: not (i < 100 and i % 2 == 0) for i, _, _ in rows}
+
+
+def test_compacted_runs_are_joined_in_their_order(spark):
+    def keys(low, high):
+        return spark.range(low, high).select(F.xxhash64("id").alias("h1"), F.xxhash64(F.lit(1), "id").alias("h2"))
+
+    index = line_dedup.LineRuns(spark, 4, fanout=3)
+    seen = set()
+    for low, high in ((0, 50), (40, 90), (10, 120), (100, 130), (0, 140), (135, 150)):
+        marked = index.absorb(keys(low, high)).collect()
+        assert sum(not r.seen for r in marked) == len(set(range(low, high)) - seen) and len(marked) == high - low
+        seen |= set(range(low, high))
+    assert [len(level) for level in index.levels] == [0, 2] and sum(r.count() for r in index.runs()) == 150
+    buckets = [re.search(r"_(\d{5})\.", f).group(1) for f in index.runs()[0].inputFiles()]
+    assert sorted(buckets) == ["00000", "00001", "00002", "00003"]  # merged runs too have one file a bucket
+    with line_dedup.settings(spark, line_dedup.AS_WRITTEN | {"spark.sql.adaptive.enabled": "false"}):
+        plan = keys(0, 9).join(index.runs()[0].hint("merge"), line_dedup.KEY, "left")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and plan.count("Exchange") == 1 and "SortMergeJoin" in plan
+
+
+def test_toxicity_of_nulls_and_repeated_ids(spark):
+    docs = spark.createDataFrame([(1, "b vile"), (1, "a vile"), (2, None), (None, "vile")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    sample, _ = toxicity.training_sample(docs, labels, F.lit(True))
+    assert {(r.text, r.label) for r in sample.collect()} == {("a vile", 1), (None, 0)}
 
 
 def test_bpe_equals_tiktoken(spark, sf):
@@ -115,12 +184,61 @@ def test_bpe_equals_tiktoken(spark, sf):
     texts += ["", " ", "aaaaaaaaaaaaaaaaaaaaaaaa", "it's 1234 tabs\t\n\n  end  ", "漢字🙂 ß  x", "<|endoftext|>", "\x00\x01"]
     codec = byte_bpe.Codec(ranks, public_tokenizers.PATTERN)
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string")
-    for memo in (False, True):
-        if memo:
-            codec.remember(df, memo_words=50)
-        ids = df.select("i", codec.encode(F.col("text")).alias("ids")).withColumn("back", codec.decode(F.col("ids")))
-        for r in ids.collect():
-            assert r.ids == plain.encode_ordinary(texts[r.i]) and bytes(r.back) == texts[r.i].encode()
+    for coded in (df.select("i", codec.encode(F.col("text")).alias("ids")), codec.encoded(df, shard_bytes=20_000)):
+        got = {r.i: r for r in coded.select("i", "ids", codec.decode(F.col("ids")).alias("back")).collect()}
+        assert len(got) == len(texts)
+        for i, text in enumerate(texts):
+            assert got[i].ids == plain.encode_ordinary(text) and bytes(got[i].back) == text.encode()
+
+
+def test_long_words_are_merged_like_short_ones(spark):
+    import random
+    import time
+
+    import public_tokenizers
+    import tiktoken
+
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    dice = random.Random(5)
+    texts = ["".join(dice.choices("abcdeéü", k=n)) for n in (1, 2, 30, 200, 256, 257, 300, 5000, 100_000)] + ["z" * 50_000, None, ""]
+    codec, began = byte_bpe.Codec(ranks, public_tokenizers.PATTERN), time.time()
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, text string")
+    for r in codec.encoded(df).collect():
+        assert r.ids == plain.encode_ordinary(texts[r.i] or "")
+    assert time.time() - began < 60
+    for word in texts[:6]:
+        assert byte_bpe.heap_merge(word.encode(), ranks) == plain.encode_ordinary(word)
+
+
+def test_possessive_patterns_match_alike():
+    import public_tokenizers
+    import regex
+
+    pattern = public_tokenizers.PATTERN
+    faster = byte_bpe.possessive(pattern)
+    assert faster.count("++") == 4 and byte_bpe.possessive("(a+|b)c+") == "(a+|b)c+" and byte_bpe.possessive(r"a\+|b+") == r"a\+|b++"
+    dice = random.Random(2)
+    for _ in range(500):
+        text = "".join(dice.choices(["a", "é", " ", "  ", "\n", "1", "'s", "'", ".", "#", "漢", "\u0301", "\u00a0", "²"], k=30))
+        assert regex.findall(faster, text) == regex.findall(pattern, text)
+
+
+def test_bpe_of_every_text(spark, sf):
+    import hashlib
+
+    import public_tokenizers
+    import tiktoken
+
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = byte_bpe.query(spark, sf).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        ids = plain.encode_ordinary(texts[r.doc_id])
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
 def plain_packing(lengths, capacities):
@@ -194,6 +312,40 @@ def test_zip_directories():
         assert [g[:2] for g in got] == [(i, i) for i in range(5)]
 
 
+def test_packages_of_several_members():
+    """Packages by another writer: two archives, two indexes, a folder, other members, a comment that holds an end mark."""
+    payload = lambda i: bytes([65 + i]) * (i * 40 + 1)
+    records = [warc_zip.record(i, f"u{i}", payload(i), hashlib.sha1(payload(i)).hexdigest(), None) for i in range(6)]
+    halves = {"a.warc.gz": records[:4], "b.warc.gz": records[4:]}
+
+    def build(method=zipfile.ZIP_STORED, names=("a.warc.gz", "b.warc.gz"), skip=None):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+            z.comment = b"note PK\x05\x06" + b"\x00" * 30
+            z.writestr("datapackage.json", "{}" * 50, zipfile.ZIP_DEFLATED)
+            z.mkdir("archive")
+            for name, own in halves.items():
+                z.writestr(f"archive/{name}", b"".join(own), method)
+            for name in names:
+                at, lines = 0, []
+                for raw in halves[name]:
+                    lines.append(f'com,u)/ 2020 {{"filename": "{name}", "offset": "{at}", "length": "{len(raw)}"}}')
+                    at += len(raw)
+                if name != skip:
+                    z.writestr(f"indexes/{name}.cdxj", "\n".join(lines) + "\n")
+        return out.getvalue()
+
+    def found(raw):
+        read = lambda a, n: raw[a : a + n]
+        rows = [warc_zip.parse_record(raw[a : a + n]) for start, sizes in warc_zip.ranges(read, len(raw), 300) for a, n in zip(np.cumsum([start, *sizes[:-1]]), sizes)]
+        return [(r[0], r[6]) for r in rows]
+
+    assert found(build()) == [(i, payload(i)) for i in range(6)]
+    for broken in (build(method=zipfile.ZIP_DEFLATED), build(skip="b.warc.gz"), build()[:-1], build().replace(b"PK\x03\x04", b"PK\x03\x05")):
+        with pytest.raises(ValueError):
+            found(broken)
+
+
 def with_zip64_end(raw):
     import struct
 

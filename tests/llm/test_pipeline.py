@@ -52,3 +52,21 @@ def test_stages_and_run(spark, sf):
 
 def SPACED(text):
     return [w.decode() for w in text.encode().split()]
+
+
+def test_extra_columns_pass_every_stage(spark, docs):
+    from conftest import ODD
+    from pyspark.sql import functions as F
+
+    clash = ["kept", "kept_text", "n_words", "n_lines", "n_dropped", "base_failed", "host_blocked", "word_chars", "__score", "component_id", "label"]
+    long = [(100 + i, " ".join(f"w{i}x{j}" for j in range(40)), "s") for i in range(5)] + [(106, " ".join(f"w1x{j}" for j in range(40)), "s")]
+    table = docs(ODD + long).withColumns({x: F.concat(F.lit(f"{x} of "), F.col("doc_id").cast("string")) for x in clash})
+    table = table.withColumn("m", F.create_map(F.lit("id"), F.col("doc_id")))
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        done = stage(spark, table, "")
+        assert done.columns == table.columns
+        for r in done.filter("doc_id IS NOT NULL").collect():
+            assert all(r[x] == f"{x} of {r.doc_id}" for x in clash) and r.m == {"id": r.doc_id}, name
+        assert {r.doc_id for r in done.select("doc_id").collect()} >= {100, 101, 102}
+    scored = toxicity.score(table, toxicity.Model({}, -3.0), out="__tox").filter("__tox < 0.7").select(table.columns)
+    assert scored.count() == table.count()
