@@ -5,8 +5,9 @@ step by step, the cut inside the neighbouring pair of lowest rank, leftmost firs
 is a literal: an array addressed by hash, each token in one of two places, so that a lookup takes two probes.
 
 Words repeat, so each distinct word of the table is folded once. Rows are packed in their order into shards of bounded
-size, which are dealt out compressed. A shard lists its distinct words that are no tokens; the lists meet by word, where
-the distinct words are folded; the ids go back to the shards that have the word, and each shard puts its texts together.
+size; a shard holds its distinct words, and its texts as numbers of these words, and is dealt out compressed. It lists its
+words that are no tokens; the lists meet by word, where the distinct words are folded; the ids go back to the shards that
+have the word, and each shard puts the ids of its texts together. The pattern is matched once a text.
 A word of more than LONG_WORD bytes is merged with a heap instead, which gives the same ids in a time that hardly grows
 faster than its length.
 
@@ -14,8 +15,8 @@ Decoding looks each id's bytes up and concatenates them: a string function joins
 
 Defined results: a null text is empty and has no ids; null ids decode to null; repeated rows are encoded one by one; an
 empty table gives an empty table; other columns stay, except that those named like an output give way. Where a lost task
-is run again and its input then comes in another order, a shard misses words and the query fails rather than guess; scans
-of files keep their order, and other tables should be stored first.
+is run again and its input then comes in another order, a shard misses words and the query fails rather than guess, as a
+shard's id depends on its words; scans of files keep their order, and other tables should be stored first.
 """
 
 from __future__ import annotations
@@ -143,19 +144,67 @@ def possessive(pattern: str) -> str:
     return re.sub(r"(?<![\\+*?])\+(?=\||$)", "++", pattern)
 
 
-def _pack(text: str, shard_bytes: int) -> Callable:
-    """Rows in their order, about shard_bytes of text a shard, as compressed Arrow streams."""
+class _Places(dict):
+    """Numbers words in the order of their first use."""
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held, size = TaskContext.get().partitionId() << 32, [], 0
+    def __missing__(self, word: str) -> int:
+        place = self[word] = len(self)
+        return place
+
+
+def _folded(word: str, ranks: dict[bytes, int]) -> bool:
+    """Whether a word's ids come from the fold: tokens have one id, and long words are merged with a heap."""
+    raw = word.encode()
+    return len(raw) <= LONG_WORD and raw not in ranks
 
-        def blob() -> pa.RecordBatch:
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 7))) as out:
-                for part in held:
-                    out.write_batch(part)
-            return pa.record_batch({"shard": pa.array([shard], pa.int64()), "blob": pa.array([sink.getvalue().to_pybytes()], pa.large_binary())})
 
+def _blob(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 9))) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _read(blob: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(blob.as_py()).read_all()
+
+
+def _shard(rows: pa.Table, text: str, keep: bool, find: Callable, label: str) -> pa.RecordBatch:
+    """Rows as one record: its distinct words, the numbers of the texts' words, and the other columns.
+
+    Words stand by falling frequency, those of one frequency in their own order: both numbers and words then pack well. The last column of the rows is each text's number of words. The shard's id is made from its label and its words, so that
+    answers to other words never meet it.
+    """
+    places = _Places()
+    codes = [np.fromiter(map(places.__getitem__, find(one.as_py() or "")), np.int32) for one in rows[text]]
+    sizes = pa.array([len(x) for x in codes], pa.int64())
+    code = np.concatenate(codes)
+    words = pa.array(list(places), pa.large_string())
+    count = pa.array(np.bincount(code, minlength=len(places)))
+    order = pc.sort_indices(pa.table({"n": count, "w": words}), [("n", "descending"), ("w", "ascending")])
+    rank = np.empty(len(order), np.int32)
+    rank[order.to_numpy()] = np.arange(len(order), dtype=np.int32)
+    code = rank[code]
+    listed = _blob(pa.table({"word": words.take(order)}))
+    numbers = pa.table({"low": pa.array((code & 0xFFFF).astype(np.uint16)), "high": pa.array((code >> 16).astype(np.uint16))})
+    kept = rows if keep else rows.remove_column(rows.schema.get_field_index(text))
+    kept = kept.append_column("words", sizes)
+    shard = xxhash.xxh64_intdigest(label.encode() + listed) - (1 << 63)
+    blobs = {"words": listed, "numbers": _blob(numbers), "kept": _blob(kept)}
+    return pa.record_batch({"shard": pa.array([shard], pa.int64())} | {k: pa.array([v], pa.large_binary()) for k, v in blobs.items()})
+
+
+SHARD_SCHEMA = "shard long, words binary, numbers binary, kept binary"
+
+
+def _pack(text: str, keep: bool, pattern: str, shard_bytes: int) -> Callable:
+    """Rows in their order, about shard_bytes of text a shard; here alone the pattern is matched."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
+
+        find, part = regex.compile(pattern).findall, TaskContext.get().partitionId()
+        shards, held, size = 0, [], 0
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False)
             start = 0
@@ -163,86 +212,60 @@ def _pack(text: str, shard_bytes: int) -> Callable:
                 if size and size + more > shard_bytes:
                     if i > start:
                         held.append(batch.slice(start, i - start))
-                    yield blob()
-                    shard, held, size, start = shard + 1, [], 0, i
+                    yield _shard(pa.Table.from_batches(held), text, keep, find, f"{part} {shards} ")
+                    shards, held, size, start = shards + 1, [], 0, i
                 size += more
             if batch.num_rows > start:
                 held.append(batch.slice(start))
         if held:
-            yield blob()
+            yield _shard(pa.Table.from_batches(held), text, keep, find, f"{part} {shards} ")
 
     return pack
 
 
-def _read(blob: pa.Scalar) -> pa.Table:
-    return pa.ipc.open_stream(blob.as_py()).read_all()
-
-
-class _Places(dict):
-    """Numbers words in the order of their first use."""
-
-    def __missing__(self, word: str) -> int:
-        place = self[word] = len(self)
-        return place
-
-
-def _folded(word: str, ranks: dict[bytes, int]) -> bool:
-    """Whether a word's ids come from the fold: tokens have one id, and long words are merged with a heap."""
-    raw = word.encode()
-    return len(raw) <= LONG_WORD and raw not in ranks
-
-
-def _ask(text: str, pattern: str, ranks: Broadcast) -> Callable:
-    """The words of each shard that are to be folded, and their places among them."""
+def _ask(ranks: Broadcast) -> Callable:
+    """The words of each shard that are to be folded, with their numbers there."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-
-        find = regex.compile(pattern).findall
         for batch in batches:
-            for shard, blob in zip(batch["shard"], batch["blob"]):
-                found: set[str] = set()
-                for one in _read(blob)[text]:
-                    found.update(find(one.as_py() or ""))
-                words = sorted(w for w in found if _folded(w, ranks.value))
-                places = pa.array(np.arange(len(words), dtype=np.int32))
-                yield pa.record_batch({"shard": pa.array(np.full(len(words), shard.as_py())), "place": places, "word": pa.array(words, pa.large_string())})
+            for shard, blob in zip(batch["shard"], batch["words"]):
+                words = _read(blob)["word"].combine_chunks()
+                places = np.flatnonzero([_folded(w, ranks.value) for w in words.to_pylist()]).astype(np.int32)
+                ids = pa.array(np.full(len(places), shard.as_py(), np.int64))
+                yield pa.record_batch({"shard": ids, "place": pa.array(places), "word": words.take(pa.array(places))})
 
     return ask
 
 
-def _fill(text: str, out: str, pattern: str, ranks: Broadcast) -> Callable:
+def _fill(out: str, ranks: Broadcast) -> Callable:
     """The rows of one shard, with the ids gathered from the answers to its words."""
 
     def fill(shards: pa.Table, answers: pa.Table) -> pa.Table:
-        import regex
-
-        find = regex.compile(pattern).findall
         if shards.num_rows != 1:
             raise RuntimeError(f"a shard came {shards.num_rows} times: the input's order has changed between runs of a task")
-        rows, places = _read(shards["blob"][0]), _Places()
-        at = [np.fromiter(map(places.__getitem__, find(one.as_py() or "")), np.int32) for one in rows[text]]
+        words, numbers, rows = (_read(shards[x][0]) for x in ("words", "numbers", "kept"))
+        code = numbers["low"].to_numpy().astype(np.int32) | numbers["high"].to_numpy().astype(np.int32) << 16
+        ends = np.cumsum(rows.column(rows.num_columns - 1).to_numpy())
+        rows = rows.remove_column(rows.num_columns - 1)
         # each distinct word's ids are a range of one array
-        ids = answers["ids"].combine_chunks()
-        sizes = pc.list_value_length(ids).to_numpy()
-        asked, own = [], []
-        for w in places:
-            (asked if _folded(w, ranks.value) else own).append(w)
-        if len(asked) != len(sizes):
+        ids, asked = answers["ids"].combine_chunks(), answers["place"].to_numpy()
+        known = np.zeros(words.num_rows, bool)
+        known[asked] = True
+        own = np.flatnonzero(~known)
+        texts = words["word"].take(pa.array(own)).to_pylist()
+        if len(set(asked.tolist())) != len(asked) or any(_folded(w, ranks.value) for w in texts):
             raise RuntimeError("a shard's words are not those it asked for: the input's order has changed between runs of a task")
-        merged = [heap_merge(w.encode(), ranks.value) for w in own]
+        merged = [heap_merge(w.encode(), ranks.value) for w in texts]
         flat = np.concatenate([ids.flatten().to_numpy(), np.array([i for word in merged for i in word], np.int32)])
-        asked = np.array([places[w] for w in sorted(asked)], np.int32)[answers["place"].to_numpy()]
-        order = np.concatenate([asked, np.array([places[w] for w in own], np.int32)])
-        count, start = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
-        count[order] = np.concatenate([sizes, np.array([len(word) for word in merged], np.int64)])
+        order = np.concatenate([asked, own])
+        count, start = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
+        count[order] = np.concatenate([pc.list_value_length(ids).to_numpy(), np.array([len(word) for word in merged], np.int64)])
         start[order] = np.cumsum(count[order]) - count[order]
         values = []
-        for words in at:
-            n = count[words]
-            values.append(flat[np.repeat(start[words] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))])
-        ends = np.cumsum([0, *map(len, values)])
-        made = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(values)))
+        for row in np.split(code, ends[:-1]):
+            n = count[row]
+            values.append(flat[np.repeat(start[row] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))])
+        made = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, values)]), pa.int32()), pa.array(np.concatenate(values)))
         return rows.append_column(out, made)
 
     return fill
@@ -306,22 +329,23 @@ class Codec:
         words = self.words(F.coalesce(text, F.lit("")))
         return _let(self.ranks.bound, lambda ranks: F.flatten(F.transform(words, lambda w: self._fold(ranks, w))))
 
-    def encoded(self, df: DataFrame, text: str = "text", ids: str = "ids", shard_bytes: int = SHARD_BYTES) -> DataFrame:
-        """df with the ids of the text as array<int>, special tokens apart."""
+    def encoded(self, df: DataFrame, text: str = "text", ids: str = "ids", keep: bool = True, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+        """df with the ids of the text as array<int>, special tokens apart, and without the text unless it is to be kept."""
         df = df.select(*[x for x in df.columns if x != ids])
         total = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
         n = 1 + total // shard_bytes
         ranks = df.sparkSession.sparkContext.broadcast(self.by_bytes)
-        packed = df.mapInArrow(_pack(text, shard_bytes), "shard long, blob binary").repartition(n, "shard")
-        asked = packed.mapInArrow(_ask(text, possessive(self.pattern), ranks), "shard long, place int, word string")
+        packed = df.mapInArrow(_pack(text, keep, possessive(self.pattern), shard_bytes), SHARD_SCHEMA).repartition(n, "shard")
+        asked = packed.mapInArrow(_ask(ranks), "shard long, place int, word string")
         asked = asked.filter("word IS NOT NULL AND shard IS NOT NULL").repartition(n, "word")
         # place and shard are asked for only so that the words are taken from the one exchange that the join reads as well
-        words = asked.groupBy("word").agg(F.min("shard").alias("s"), F.min("place").alias("p")).filter("s >= 0 AND p >= 0")
+        words = asked.groupBy("word").agg(F.min("shard").alias("s"), F.min("place").alias("p")).filter("s IS NOT NULL AND p >= 0")
         # a partition's distinct words are fewer than the rows that ask for them: they are hashed, and nothing is sorted
         folded = words.select("word", self.fold(F.col("word")).alias("ids")).hint("shuffle_hash")
         answers = asked.join(folded, "word").select("shard", "place", "ids")
-        schema = StructType([*df.schema.fields]).add(ids, ArrayType(IntegerType()))
-        return packed.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_fill(text, ids, possessive(self.pattern), ranks), schema)
+        fields = [f for f in df.schema.fields if keep or f.name != text]
+        schema = StructType(fields).add(ids, ArrayType(IntegerType()))
+        return packed.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_fill(ids, ranks), schema)
 
     def decode(self, ids: Column) -> Column:
         """binary: the bytes of the ids."""
@@ -335,7 +359,7 @@ def query(spark: SparkSession, sf_dir: str, path: str | None = None, pattern: st
         path, pattern = path or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN
     docs = c.documents(spark, sf_dir).select("doc_id", "text")
     codec = Codec(read_ranks(path), pattern)
-    coded = codec.encoded(docs).select("doc_id", "ids")
+    coded = codec.encoded(docs, keep=False)
     shown = F.btrim(F.replace(F.to_json("ids"), F.lit(","), F.lit(" ")), F.lit("[]"))
     return coded.select(
         "doc_id",

@@ -211,6 +211,26 @@ def test_long_words_are_merged_like_short_ones(spark):
         assert byte_bpe.heap_merge(word.encode(), ranks) == plain.encode_ordinary(word)
 
 
+def test_bpe_shards_of_odd_rows(spark):
+    import public_tokenizers
+    import tiktoken
+
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    for pattern in (public_tokenizers.PATTERN, r"\p{L}+|\s+"):  # the second leaves gaps between its matches
+        plain = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        codec = byte_bpe.Codec(ranks, pattern)
+        rows = [(1, None, "a", "x"), (2, "", None, "y"), (None, "zebra 12 zzzqx", "b", None), (4, "zebra 12 zzzqx", "b", "z"), (4, "zebra 12 zzzqx", "b", "z")]
+        df = spark.createDataFrame(rows, "i long, text string, words string, ids string")
+        for keep in (True, False):
+            got = codec.encoded(df, keep=keep, shard_bytes=10)
+            assert got.columns == (["i", "text", "words", "ids"] if keep else ["i", "words", "ids"])
+            found = [(r.i, r.words, tuple(r.ids)) for r in got.collect()]
+            wanted = [(i, w, tuple(plain.encode_ordinary(t or ""))) for i, t, w, _ in rows]
+            assert sorted(found, key=repr) == sorted(wanted, key=repr)
+        assert codec.encoded(df.limit(0)).collect() == []
+        assert [r.ids for r in codec.encoded(df.filter("i < 3")).collect()] == [[], []]
+
+
 def test_possessive_patterns_match_alike():
     import public_tokenizers
     import regex
