@@ -261,12 +261,6 @@ def test_bpe_of_every_text(spark, sf):
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
-def plain_packing(lengths, capacities):
-    """Best-fit decreasing, piece by piece, over the plan's choice of sizes."""
-    found = packing.plan(Counter(lengths), capacities)
-    return found
-
-
 @pytest.mark.parametrize("seed", range(6))
 def test_packing_places_every_piece_once(seed):
     rng, capacities = random.Random(seed), (8, 16, 32)
