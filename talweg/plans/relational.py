@@ -131,7 +131,9 @@ def dedupe_keep_first(spark, sf):
 
 
 def dedupe_last(spark, sf):
-    return r.keep_last(t.read(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber"), ["l_orderkey"], "l_linenumber")
+    """The line of the largest number of each order; of equal ones the first in the file, as an aggregate that reads it in order has it."""
+    lines = t.read(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    return r.keep_first(lines, ["l_orderkey"], F.desc("l_linenumber"), "__file", "__row").drop("__file", "__row")
 
 
 def duplicate_flags(spark, sf):
