@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from talweg.functions.text import letters_digits
+from talweg.operators.stages import cut
 
 
 def search(df: DataFrame, contains: dict[str, str] | None = None, lower: dict[str, str] | None = None, upper: dict[str, str] | None = None, number: dict[str, float] | None = None, either: tuple[tuple[str, ...], str] | None = None) -> DataFrame:
@@ -38,12 +39,30 @@ def resolve(asked: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return asked.join(found, key, "left").select(*asked.columns, F.when(n == 0, "missing").when(n == 1, "found").otherwise("ambiguous").alias("status"), F.when(n == 1, F.col("c")).alias("found_code"), n.alias("candidates"))
 
 
+def _parts(name: str, lengths: list[int], proper: bool = False) -> Column:
+    """Rows of the distinct parts of a name that have one of the lengths; `proper`: shorter than the name."""
+    long = F.col(name)
+    part = lambda n: F.transform(F.sequence(F.lit(1), F.length(long) - n + 1), lambda i: F.substring(long, i, n))
+    fits = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: (n < F.length(long)) if proper else (n <= F.length(long)))
+    return F.explode(F.array_distinct(F.flatten(F.transform(fits, part))))
+
+
 def match_port(asked: DataFrame, ports: DataFrame, key: str, wanted: str, port: str) -> DataFrame:
-    """The port whose letters and digits hold those of the wanted name, or the other way round; several are ambiguous."""
-    p = F.broadcast(ports.select(F.col(port).alias("__port"), letters_digits(F.col(port)).alias("__p")))  # a roster of ports
-    w = letters_digits(F.col(wanted))
-    hits = asked.join(p, F.col("__p").contains(w) | w.contains(F.col("__p")), "left").groupBy(key).agg(F.count("__port").alias("n"), F.min("__port").alias("p"))
-    return hits.select(key, F.when(F.col("n") == 0, "missing").when(F.col("n") == 1, "found").otherwise("ambiguous").alias("status"), F.when(F.col("n") == 1, F.col("p")).alias(port))
+    """The port whose letters and digits hold those of the wanted name, or the other way round; several are ambiguous.
+
+    No pairs are formed: a name holds another if one of its parts of that length is the other. Parts of equal letters are
+    counted before they meet the names, so that names which many hold are a row as well. Null finds nothing.
+    """
+    w = cut(asked.select(key, letters_digits(F.col(wanted)).alias("__w")))
+    p = cut(ports.select(F.col(port).alias("__port"), letters_digits(F.col(port)).alias("__p")).filter("__p IS NOT NULL").groupBy("__p").agg(F.count("__port").alias("n"), F.min("__port").alias("port")))
+    names = w.filter("__w IS NOT NULL").select("__w").distinct()
+    lengths = lambda df, c: sorted(r[0] for r in df.select(F.length(c)).distinct().collect())
+    counted = lambda df: df.groupBy("__w").agg(F.sum("n").alias("n"), F.min("port").alias("port"))
+    inside = counted(p.select(_parts("__p", lengths(names, "__w")).alias("__w"), "n", "port"))
+    around = counted(names.select("__w", _parts("__w", lengths(p, "__p"), True).alias("__p")).join(p, "__p"))
+    hits = counted(inside.unionByName(around))
+    found = w.join(hits, "__w", "left").groupBy(key).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.min("port").alias("p"))
+    return found.select(key, F.when(F.col("n") == 0, "missing").when(F.col("n") == 1, "found").otherwise("ambiguous").alias("status"), F.when(F.col("n") == 1, F.col("p")).alias(port))
 
 
 def band(value: Column, bounds: list[float]) -> Column:

@@ -1,6 +1,6 @@
 """Queries whose cost or ties showed on larger tables only, held against plain versions."""
 
-from talweg.operators import graph
+from talweg.operators import graph, resolve
 from talweg.plans import relational
 
 
@@ -28,3 +28,16 @@ def test_of_equal_lines_the_first_of_the_file_stays(spark, tmp_path):
         next((tmp_path / f"tmp{i}").glob("part-*.parquet")).rename(tmp_path / "lineitem.parquet" / f"part-{i}.parquet")
     got = {r.l_orderkey: r.l_partkey for r in relational.dedupe_last(spark, str(tmp_path)).collect()}
     assert got == {k: 1000 + k for k in range(500)}
+
+
+def test_ports_are_found_without_pairs(spark):
+    wanted = ["Port 1", "port", "", None, "1", "Great Port-12 of all", "x", "ports", "aaa"]
+    ports = ["Port-1", "port-1 ", "Port 12", "", None, "--", "aaaa", "aa", "Port-1"]
+    plain = lambda s: None if s is None else "".join(c for c in s.lower() if c.isalnum())
+    expected = {}
+    for i, w in enumerate(wanted):
+        hits = sorted(p for p in ports if None not in (w, p) and (plain(w) in plain(p) or plain(p) in plain(w)))
+        expected[i] = (("missing", "found", "ambiguous")[min(len(hits), 2)], hits[0] if len(hits) == 1 else None)
+    found = resolve.match_port(spark.createDataFrame(list(enumerate(wanted)), "id long, w string"), spark.createDataFrame([(p,) for p in ports], "port string"), "id", "w", "port")
+    assert {r.id: (r.status, r.port) for r in found.collect()} == expected
+    assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
