@@ -21,7 +21,7 @@ SPEEDS = {"motorway": 90.0, "trunk": 70.0, "primary": 55.0}
 OTHER_SPEED, BRIDGE_SPEED, BRIDGE_M, GRID_M = 50.0, 35.0, 350.0, 15.0
 #: Components of fewer nodes do not carry catchments.
 COMPONENT_FLOOR = 1000
-#: Edges up to which a graph is shipped whole to every path task.
+#: Edges up to which a graph is shipped whole to every task that gives the nodes of paths.
 SHIPPED_EDGES = 20_000_000
 
 
@@ -199,10 +199,10 @@ def dijkstra(arrays: tuple, source: int, targets: set[int] | None = None, limit:
 
 
 def _shipped(edges: DataFrame):
-    """The graph as a broadcast of bounded size; larger graphs go through relaxed_hours."""
+    """The graph as a broadcast of bounded size; larger graphs are searched block by block, without the nodes of paths."""
     n = edges.count()
     if n > SHIPPED_EDGES:
-        raise ValueError(f"{n} edges are too many to ship; use relaxed_hours")
+        raise ValueError(f"{n} edges are too many to ship; ask without nodes")
     e = edges.select("u", "v", "hours", "km", "is_bridge").toPandas()
     return edges.sparkSession.sparkContext.broadcast(Csr(e.u.to_numpy(), e.v.to_numpy(), e.hours.to_numpy(float), e.km.to_numpy(float), e.is_bridge.to_numpy(bool)).arrays())
 
@@ -210,11 +210,161 @@ def _shipped(edges: DataFrame):
 PATHS = "u long, v long, hours double, km double, bridges long, bridge_km double, max_bridge_m double, steps long, nodes array<long>"
 
 
+#: Nodes of a block when a graph is searched block by block; slots that the sources are dealt to; messages that may be broadcast.
+BLOCK_NODES, SLOTS, FEW = 150_000, 8, 500_000
+_SUMS = "km double, bridges long, bridge_km double, longest double, steps long"
+_ZERO = (0.0, 0, 0.0, 0.0, 0)
+
+
+def _pack(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The arcs of a block as one row: those inside as arrays by node, those to other blocks by their ends."""
+    here = int(pdf["block"].iloc[0])
+    pdf = pdf.sort_values(["x", "y", "h", "km"], kind="stable").drop_duplicates(["x", "y"])
+    names = np.unique(pdf["x"].to_numpy())
+    inside, across = pdf[pdf["to"] == here], pdf[pdf["to"] != here]
+    src = np.searchsorted(names, inside["x"].to_numpy())
+    arrays = {"names": names, "start": np.searchsorted(src, np.arange(len(names) + 1)), "dst": np.searchsorted(names, inside["y"].to_numpy()), "h": inside["h"].to_numpy(), "km": inside["km"].to_numpy(), "br": inside["br"].to_numpy()}
+    arrays |= {"ax": np.searchsorted(names, across["x"].to_numpy()), "ay": across["y"].to_numpy(), "ato": across["to"].to_numpy(), "ah": across["h"].to_numpy(), "akm": across["km"].to_numpy(), "abr": across["br"].to_numpy()}
+    return pd.DataFrame({"block": [here]} | {k: [np.ascontiguousarray(v, _PACKED[k]).tobytes()] for k, v in arrays.items()})
+
+
+_PACKED = {"names": "i8", "start": "i8", "dst": "i4", "h": "f8", "km": "f8", "br": "?", "ax": "i8", "ay": "i8", "ato": "i8", "ah": "f8", "akm": "f8", "abr": "?"}
+
+
+def _added(sums: tuple, km: float, bridge: bool) -> tuple:
+    x, n, b, most, steps = sums
+    return (x + km, n + 1, b + km, max(most, km), steps + 1) if bridge else (x + km, n, b, most, steps + 1)
+
+
+def _settle(names: list, start: list, dst: list, h: list, km: list, br: list, seeds: list, limit: float, summed: bool) -> tuple[list, dict, dict]:
+    """(nodes in the order they are settled, hours, sums) of a block, from seeds (node, hours, node before, whether the last edge took time, sums).
+
+    Of equally fast ways the one over the smallest node before counts. An edge that adds no time yields to one that does;
+    of several such the one of fewest steps counts, so that sums can't run in circles.
+    """
+    best, via, done, order, heap = {}, {}, set(), [], []
+    for at, d, before, took, sums in seeds:
+        rank = (0, before) if took else (1, sums[4], before)
+        if at not in best or d < best[at] or (d == best[at] and rank < via[at][0]):
+            best[at], via[at] = d, (rank, -1, sums)
+            heapq.heappush(heap, (d, 0 if took else sums[4], at))  # of equal hours what took time comes first, then fewer steps
+    total = {}
+    while heap:
+        d, _, i = heapq.heappop(heap)
+        if i in done:
+            continue
+        done.add(i)
+        order.append(i)
+        if summed:
+            _, e, back = via.pop(i)
+            total[i] = back if e < 0 else _added(total[back], km[e], br[e])
+        for e in range(start[i], start[i + 1]):
+            j = dst[e]
+            if j in done:
+                continue
+            nd, old = d + h[e], best.get(j)
+            if nd > limit:
+                continue
+            if old is not None and (nd > old or (nd == old and not summed)):
+                continue
+            if not summed:
+                heapq.heappush(heap, (nd, 0, j))
+            else:
+                rank = (0, names[i]) if nd > d else (1, total[i][4] + 1, names[i])
+                if nd == old and rank >= via[j][0]:
+                    continue
+                if old is None or nd < old or rank[0]:
+                    heapq.heappush(heap, (nd, rank[1] if rank[0] else 0, j))
+                elif via[j][0][0]:
+                    heapq.heappush(heap, (nd, 0, j))
+                via[j] = (rank, e, i)
+            best[j] = nd
+    return order, best, total
+
+
+def _searched(edges: DataFrame, sources: DataFrame, limit: float = float("inf"), summed: bool = False) -> DataFrame:
+    """(u, node, hours, km, bridges, bridge_km, longest, steps) of the nodes within the limit of each source; sums only if asked for.
+
+    For graphs of any size. Nodes are dealt by number into blocks of bounded size, each of which one task searches from
+    what its neighbours know; only nodes with edges to other blocks are exchanged, until none gets faster. Any blocks give
+    the same result; rounds are few where neighbours have near numbers, as a path then changes blocks seldom.
+    """
+    has = lambda c, other: F.col(c) if c in edges.columns else F.lit(other)
+    e = edges.select("u", "v", F.col("hours").cast("double").alias("h"), has("km", 0.0).cast("double").alias("km"), has("is_bridge", False).alias("br")).filter("h IS NOT NULL AND NOT isnan(h)")
+    arcs = cut(e.select(F.col("u").alias("x"), F.col("v").alias("y"), "h", "km", "br").union(e.select(F.col("v").alias("x"), F.col("u").alias("y"), "h", "km", "br")))
+    if not arcs.filter("h < 0").isEmpty():
+        raise ValueError("negative hours")
+    nodes = arcs.select("x").distinct()
+    count = max(1, math.ceil(nodes.count() / BLOCK_NODES))
+    bounds = sorted(set(nodes.approxQuantile("x", [i / count for i in range(1, count)], 0.02 / count))) if count > 1 else []
+    block = lambda c: F.size(F.filter(F.array(*[F.lit(int(b)) for b in bounds]).cast("array<bigint>"), lambda b: b <= F.col(c))).cast("long")
+    packed = arcs.withColumns({"block": block("x"), "to": block("y")}).groupBy("block").applyInPandas(_pack, "block long, " + ", ".join(f"{k} binary" for k in _PACKED))
+    packed = cut(packed)
+    sources = cut(sources.select(F.col("u").cast("long").alias("u")).distinct())
+    told = [r.u for r in sources.limit(SLOTS + 1).collect()]
+    slot = F.array_position(F.array(*[F.lit(u) for u in told]), F.col("u")) if 0 < len(told) <= SLOTS else F.pmod(F.xxhash64("u"), F.lit(SLOTS))
+    tasks = 2 * edges.sparkSession.sparkContext.defaultParallelism
+
+    columns = ["u", "slot", "block", "node", "before", "hours", "took", *[c.split()[0] for c in _SUMS.split(", ")]]
+
+    def run(last: bool):
+        def search(batches):
+            for pdf in batches:
+                for row in pdf.itertuples():
+                    a = {k: np.frombuffer(getattr(row, k), t) for k, t in _PACKED.items()}
+                    parts, by_source = [a[k].tolist() for k in ("names", "start", "dst", "h", "km", "br")], {}
+                    for s in row.seeds:
+                        i = int(np.searchsorted(a["names"], s["node"]))
+                        if i < len(a["names"]) and a["names"][i] == s["node"]:
+                            by_source.setdefault(s["u"], []).append((i, s["hours"], s["before"], s["took"], (s["km"], s["bridges"], s["bridge_km"], s["longest"], s["steps"])))
+                    for u, seeds in by_source.items():
+                        order, best, total = _settle(*parts, seeds, limit, summed)
+                        if last:
+                            at = np.array(order, "i8")
+                            sums = zip(*[total[i] for i in order]) if summed else [[0.0], [0], [0.0], [0.0], [0]]
+                            out = {"u": u, "node": a["names"][at], "hours": [best[i] for i in order]}
+                            out |= {k: np.array(x, "f8" if k in ("km", "bridge_km", "longest") else "i8") if summed else x[0] for k, x in zip(("km", "bridges", "bridge_km", "longest", "steps"), sums)}
+                            yield pd.DataFrame(out)
+                            continue
+                        rows = []
+                        for i, y, to, h, km, br in zip(*[a[k].tolist() for k in ("ax", "ay", "ato", "ah", "akm", "abr")]):
+                            if i in best and best[i] + h <= limit:
+                                rows.append((u, int(row.slot), to, y, parts[0][i], best[i] + h, best[i] + h > best[i], *(_added(total[i], km, br) if summed else _ZERO)))
+                        yield pd.DataFrame(rows, columns=columns)
+
+        return search
+
+    messages = cut(sources.select("u", slot.cast("long").alias("slot"), block("u").alias("block"), F.col("u").alias("node"), F.lit(None).cast("long").alias("before"), F.lit(0.0).alias("hours"), F.lit(True).alias("took"), *[F.lit(z).alias(c.split()[0]) for z, c in zip((0.0, 0, 0.0, 0.0, 0), _SUMS.split(", "))]).select("u", "slot", "block", "node", "before", "hours", "took", *[F.col(c.split()[0]).cast(c.split()[1]) for c in _SUMS.split(", ")]))
+    kinds = ", ".join(f"{c} {t}" for c, t in messages.dtypes)
+    seeds = lambda df, n: (F.broadcast if n <= FEW else lambda x: x)(df.withColumn("before", F.coalesce("before", F.lit(-(2**63)))).groupBy("block", "slot").agg(F.collect_list(F.struct("u", "node", "before", "hours", "took", "km", "bridges", "bridge_km", "longest", "steps")).alias("seeds")))
+    changed, known = messages, sources.count()
+    while count > 1:
+        active = changed.select("u", "block").distinct()
+        todo = messages.join(active, ["u", "block"], "left_semi")
+        sent = cut(packed.join(seeds(todo, known), "block").repartition(tasks, "block", "slot").mapInPandas(run(False), kinds))
+        old = messages.select("u", "node", "before", *[F.col(c).alias(f"old_{c}") for c in ("hours", "took", "km", "bridges", "bridge_km", "longest", "steps")])
+        same = F.lit(True)
+        for c in ("hours", "took", "km", "bridges", "bridge_km", "longest", "steps"):
+            same = same & F.col(c).eqNullSafe(F.col(f"old_{c}"))
+        changed = cut(sent.join(old, ["u", "node", "before"], "left").filter(~same).select(*messages.columns))
+        if changed.isEmpty():
+            break
+        messages = cut(messages.join(changed, ["u", "node", "before"], "left_anti").select(*messages.columns).unionByName(changed))
+        known = messages.count()
+    found = packed.join(seeds(messages, known), "block").repartition(tasks, "block", "slot").mapInPandas(run(True), f"u long, node long, hours double, {_SUMS}")
+    start = sources.select("u", F.col("u").alias("node"), F.lit(0.0).alias("hours"), *[F.lit(0).cast(c.split()[1]).alias(c.split()[0]) for c in _SUMS.split(", ")])
+    return found.filter("node <> u").unionByName(start)
+
+
 def fastest_paths(edges: DataFrame, pairs: DataFrame, with_nodes: bool = True) -> DataFrame:
     """PATHS for the pairs (u, v): kilometres and bridges are those of the path of least time. No path: nulls; u = v: zeros.
 
-    One search per distinct source; sources are spread over tasks.
+    Without nodes the graph is searched block by block. With them there is one search per distinct source, over a graph
+    that is shipped whole; sources are spread over tasks.
     """
+    if not with_nodes:
+        found = _searched(edges, pairs.select("u"), summed=True).select("u", F.col("node").alias("v"), "hours", "km", "bridges", "bridge_km", (1000 * F.col("longest")).alias("max_bridge_m"), "steps", F.lit(None).cast("array<long>").alias("nodes"))
+        return pairs.select(F.col("u").cast("long"), F.col("v").cast("long")).distinct().join(found, ["u", "v"], "left")
     graph = _shipped(edges)
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -236,15 +386,15 @@ def fastest_paths(edges: DataFrame, pairs: DataFrame, with_nodes: bool = True) -
         for v in wanted:
             i = known.get(v)
             if v == source:
-                rows.append((source, v, 0.0, 0.0, 0, 0.0, 0.0, 0, [source] if with_nodes else None))
+                rows.append((source, v, 0.0, 0.0, 0, 0.0, 0.0, 0, [source]))
             elif i is None or i not in hours:
                 rows.append((source, v, None, None, None, None, None, None, None))
             else:
                 path = [i]
-                while with_nodes and path[-1] in before:
+                while path[-1] in before:
                     path.append(before[path[-1]][0])
                 x, n, b, most, steps = sums[i]
-                rows.append((source, v, hours[i], x, n, b, 1000 * most, steps, [int(names[x]) for x in path[::-1]] if with_nodes else None))
+                rows.append((source, v, hours[i], x, n, b, 1000 * most, steps, [int(names[x]) for x in path[::-1]]))
         return pd.DataFrame(rows, columns=["u", "v", "hours", "km", "bridges", "bridge_km", "max_bridge_m", "steps", "nodes"]).astype({"bridges": "Int64", "steps": "Int64"})
 
     return pairs.select("u", "v").distinct().groupBy("u").applyInPandas(search, PATHS)
@@ -252,24 +402,17 @@ def fastest_paths(edges: DataFrame, pairs: DataFrame, with_nodes: bool = True) -
 
 def reached(edges: DataFrame, sources: DataFrame, limit: float) -> DataFrame:
     """(u, node, hours) of the nodes within the limit of each source, inclusive."""
-    graph = _shipped(edges)
-
-    def search(batches):
-        for pdf in batches:
-            for source in pdf["u"]:
-                names = graph.value[0]
-                hours, _ = dijkstra(graph.value, int(source), None, limit)
-                hours = hours or {}
-                yield pd.DataFrame({"u": int(source), "node": [int(names[i]) for i in hours], "hours": list(hours.values())}) if hours else pd.DataFrame({"u": [int(source)], "node": [int(source)], "hours": [0.0]})
-
-    return sources.select("u").distinct().mapInPandas(search, "u long, node long, hours double")
+    return _searched(edges, sources, limit).select("u", "node", "hours")
 
 
 def relaxed_hours(edges: DataFrame, sources: DataFrame, rounds: int | None = None) -> DataFrame:
-    """(u, node, hours) of all nodes by repeated relaxation, until no path gets faster: DataFrame operations only, for graphs of any size.
+    """(u, node, hours) of all nodes by repeated relaxation, until no path gets faster, for graphs of any size.
 
-    A round follows one more edge. If `rounds` are given and do not suffice, that is an error; so are negative hours.
+    A round relaxes whole blocks of nodes. If `rounds` are given, a round follows one more edge, by DataFrame operations
+    only; that they do not suffice is an error. So are negative hours.
     """
+    if rounds is None:
+        return all_hours(edges, sources)
     both = edges.select("u", "v", "hours").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"), "hours")).withColumnsRenamed({"u": "x", "v": "y", "hours": "h"})
     both = cut(both.filter("h IS NOT NULL AND NOT isnan(h)"))
     if not both.filter("h < 0").isEmpty():
@@ -288,9 +431,7 @@ def relaxed_hours(edges: DataFrame, sources: DataFrame, rounds: int | None = Non
 
 
 def all_hours(edges: DataFrame, sources: DataFrame) -> DataFrame:
-    """(u, node, hours) of all nodes: by a search from every source, or by relaxation where the graph is too large to ship."""
-    if edges.count() > SHIPPED_EDGES:
-        return relaxed_hours(edges, sources)
+    """(u, node, hours) of all nodes."""
     return reached(edges, sources, float("inf"))
 
 

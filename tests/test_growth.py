@@ -41,3 +41,23 @@ def test_ports_are_found_without_pairs(spark):
     found = resolve.match_port(spark.createDataFrame(list(enumerate(wanted)), "id long, w string"), spark.createDataFrame([(p,) for p in ports], "port string"), "id", "w", "port")
     assert {r.id: (r.status, r.port) for r in found.collect()} == expected
     assert "NestedLoop" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_blocks_give_the_paths_of_the_whole_graph(spark, monkeypatch):
+    """A lattice with many equally fast ways, edges that take no time and a part that is not reached, in blocks of twenty nodes."""
+    rows = [(k, k + s, 1.0 + k % 3, 0.0 if k % 11 == 5 else 0.25 * (1 + k % 2), k % 5 == 0) for k in range(60) for s in (1, 6) if k * s % 7 != 4]
+    edges = spark.createDataFrame([*rows, (500, 501, 1.0, 1.0, False)], "u long, v long, km double, hours double, is_bridge boolean")
+    pairs = spark.createDataFrame([(u, v) for u in (0, 17, 900) for v in [*range(66), 500, 900]], "u long, v long")
+    whole = {(r.u, r.v): r.hours for r in graph.fastest_paths(edges, pairs).collect()}
+    monkeypatch.setattr(graph, "BLOCK_NODES", 20)
+    assert {(r.u, r.v): r.hours for r in graph.fastest_paths(edges, pairs, False).collect()} == whole
+    assert {(r.u, r.node) for r in graph.reached(edges, pairs.select("u"), 1.5).collect()} == {k for k, h in whole.items() if h is not None and h <= 1.5}
+
+
+def test_sums_of_blocks_are_those_of_the_shipped_graph(spark, monkeypatch):
+    rows = [(k, k + s, 1.0 + k % 3, 0.25 * (1 + k % 2), k % 5 == 0) for k in range(60) for s in (1, 6) if k * s % 7 != 4]
+    edges = spark.createDataFrame(rows, "u long, v long, km double, hours double, is_bridge boolean")
+    pairs = spark.createDataFrame([(u, v) for u in (0, 17, 60) for v in range(66)], "u long, v long")
+    whole = {tuple(r)[:8] for r in graph.fastest_paths(edges, pairs).collect()}
+    monkeypatch.setattr(graph, "BLOCK_NODES", 20)
+    assert {tuple(r)[:8] for r in graph.fastest_paths(edges, pairs, False).collect()} == whole
