@@ -51,43 +51,58 @@ def nearest(left: DataFrame, right: DataFrame, key: str, order: str, size: float
     `by`) with nulls. Right rows without a place are never found. Left rows are told apart by number, so `key` may repeat;
     it names no part of the search.
 
-    Rings of cells around each left row are searched, twice as wide for rows that are not yet settled: a row is settled
-    when its k-th distance is within the ring. A ring that is wider than all of the right side settles the rest, and none
-    wider is tried; only rows with fewer than k right rows, or far away from all of them, come so far.
+    Rings of cells around each left place are searched, twice as wide for places that are not yet settled: one is settled
+    when its k-th distance is within the ring. The first cells are no wider than `size`, and narrower where that would
+    hold many right rows; copies at one place are searched once. A ring that is wider than all of the right side settles the rest, and none
+    wider is tried; only places with fewer than k right rows, or far away from all of them, come so far.
     """
     far = right.filter(_placed()).select(*[F.col(c).alias(f"r_{c}") for c in right.columns])
-    rows = cut(left.withColumn("__id", F.monotonically_increasing_id()))
+    # of right rows of one kind at one place only the first k can be found; left rows at one place find the same
+    kind_of = [f"r_{by}"] if by else []
+    near = far.withColumn("__r", F.row_number().over(Window.partitionBy("r_x", "r_y", *kind_of).orderBy(f"r_{order}"))).filter(F.col("__r") <= k).drop("__r")
+    kinds = right.select(F.col(by).alias("__by")).distinct() if by else None  # a value of `by` is a kind of facility: few
     if by:
-        kinds = right.select(F.col(by).alias("__by")).distinct()
-        rows = rows.join(kinds, F.lit(True), "left")  # a value of `by` is a kind of facility: few
-    keys = ["__id", "__by"] if by else ["__id"]
-    same_kind = F.col("__by").eqNullSafe(F.col(f"r_{by}")) if by else F.lit(True)
+        kinds = cut(kinds.withColumn("__k", F.row_number().over(Window.orderBy("__by"))))
+        near = near.join(F.broadcast(kinds), F.col(f"r_{by}").eqNullSafe(F.col("__by"))).drop("__by")
+    else:
+        near = near.withColumn("__k", F.lit(1))
+    near = cut(near)
+    places = left.filter(_placed()).select("x", "y").distinct().withColumn("__id", F.monotonically_increasing_id())
+    todo = cut(places.crossJoin(F.broadcast(kinds.select("__k"))) if by else places.withColumn("__k", F.lit(1)))
+    keys, found = ["__id", "__k"], None
     window = Window.partitionBy(*keys).orderBy("dist_m", f"r_{order}")
-    todo, found, width = cut(rows.filter(_placed()).select(*keys, "x", "y")), None, size
-    ends = todo.select("x", "y").union(far.select("r_x", "r_y")).agg(*[f(c) for c in ("x", "y") for f in (F.min, F.max)]).first()
+    ends = todo.select("x", "y").union(near.select("r_x", "r_y")).agg(*[f(c) for c in ("x", "y") for f in (F.min, F.max)]).first()
     extent = max(ends[1] - ends[0], ends[3] - ends[2]) if ends[0] is not None else 0.0
+    # the first cells hold a few right rows of a kind each, however many there are
+    held = near.groupBy("__k", *cell(F.col("r_x"), F.col("r_y"), size)).count().agg(F.avg("count")).first()[0] or 1.0
+    width, tasks = size * min(1.0, (3 * k / held) ** 0.5), int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while not todo.isEmpty():
-        placed = far.withColumns({"cx": F.floor(F.col("r_x") / width), "cy": F.floor(F.col("r_y") / width)})
-        ring = _around(todo, width)
-        pairs = ring.join(placed, (ring["cx"] == placed["cx"]) & (ring["cy"] == placed["cy"]) & same_kind).drop("cx", "cy")
-        ranked = pairs.withColumn("dist_m", planar_m(F.col("x"), F.col("y"), F.col("r_x"), F.col("r_y"))).withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
+        placed = near.withColumns({"cx": F.floor(F.col("r_x") / width), "cy": F.floor(F.col("r_y") / width)})
+        # dealt to a fixed number of tasks: the rows that meet are many more than those that are dealt
+        pairs = _around(todo, width).repartition(tasks, "cx", "cy", "__k").join(placed, ["cx", "cy", "__k"]).drop("cx", "cy")
+        ranked = pairs.withColumn("dist_m", planar_m(F.col("x"), F.col("y"), F.col("r_x"), F.col("r_y")))
         if width < extent:
-            full = F.max(F.when((F.col("rank") == k) & (F.col("dist_m") <= width), True)).over(Window.partitionBy(*keys))
-            ranked = ranked.withColumn("__full", full).filter("__full").drop("__full")
-        ranked = cut(ranked.drop("x", "y"))
+            ranked = ranked.filter(F.col("dist_m") <= width)
+        ranked = ranked.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
+        if width < extent:
+            ranked = ranked.withColumn("__full", F.max("rank").over(Window.partitionBy(*keys))).filter(F.col("__full") == k).drop("__full")
+        ranked = cut(ranked)
         found = ranked if found is None else found.unionByName(ranked)
         if width >= extent:
             break
-        settled = ranked.select(*[F.col(c).alias(f"{c}s") for c in keys]).distinct()
-        todo = cut(todo.join(settled, [F.col(c).eqNullSafe(F.col(f"{c}s")) for c in keys], "left_anti"))
+        todo = cut(todo.join(ranked.select(*keys).distinct(), keys, "left_anti"))
         width *= 2
+    rows = left
+    if by:
+        rows = rows.join(F.broadcast(kinds), F.lit(True), "left")
     if found is None:
         empty = [F.lit(None).cast(t).alias(c) for c, t in [("dist_m", "double"), ("rank", "int"), *far.dtypes]]
         return rows.select(*left.columns, *empty) if not by else rows.select(*left.columns, *[F.col("__by").alias(c) if c == f"r_{by}" else e for (c, _), e in zip([("", ""), ("", ""), *far.dtypes], empty)])
-    found = found.withColumnsRenamed({c: f"{c}f" for c in keys})
-    joined = rows.join(found, [F.col(c).eqNullSafe(F.col(f"{c}f")) for c in keys], "left")
+    found = found.drop("__id").withColumnsRenamed({"x": "__x", "y": "__y", "__k": "__kf"})
+    same = (F.col("x") == F.col("__x")) & (F.col("y") == F.col("__y"))
+    joined = rows.join(found, same & (F.col("__k") == F.col("__kf")) if by else same, "left")
     kind = {f"r_{by}": F.coalesce(f"r_{by}", "__by")} if by else {}
-    return joined.withColumns(kind).select(*left.columns, *[c for c in found.columns if c not in ("__idf", "__byf")])
+    return joined.withColumns(kind).select(*left.columns, *far.columns, "dist_m", "rank")
 
 
 def knn_small(left: DataFrame, right: DataFrame, key: str, order: str, k: int, by: str | None = None, distance: Column | None = None) -> DataFrame:

@@ -1,6 +1,8 @@
 """Queries whose cost or ties showed on larger tables only, held against plain versions."""
 
-from talweg.operators import graph, resolve
+import math
+
+from talweg.operators import graph, resolve, spatial
 from talweg.plans import relational
 
 
@@ -61,3 +63,20 @@ def test_sums_of_blocks_are_those_of_the_shipped_graph(spark, monkeypatch):
     whole = {tuple(r)[:8] for r in graph.fastest_paths(edges, pairs).collect()}
     monkeypatch.setattr(graph, "BLOCK_NODES", 20)
     assert {tuple(r)[:8] for r in graph.fastest_paths(edges, pairs, False).collect()} == whole
+
+
+def test_copies_are_searched_once_and_places_are_not_lost(spark, monkeypatch):
+    left = [(i, float(i % 4), float(i % 3)) for i in range(600)] + [(600, None, 1.0), (601, float("nan"), 1.0), (602, 900.0, 900.0)]
+    right = [(i, ("a", "b", None)[i % 3], float(i % 5), float(i % 7) / 2) for i in range(700)]
+    met = []
+    around = spatial._around
+    monkeypatch.setattr(spatial, "_around", lambda df, *a: met.append(df.count()) or around(df, *a))
+    a, b = spark.createDataFrame(left, "id long, x double, y double"), spark.createDataFrame(right, "key long, kind string, x double, y double")
+    found = spatial.nearest(a, b, "id", "key", 50.0, k=2, by="kind").collect()
+    assert met[0] == 13 * 3
+    expected = set()
+    for i, x, y in left:
+        for kind in ("a", "b", None):
+            best = sorted((math.hypot(x - rx, y - ry), key) for key, k, rx, ry in right if k == kind)[:2] if x is not None and x == x else [(None, None)]
+            expected |= {(i, kind, n + 1 if key is not None else None, key, d) for n, (d, key) in enumerate(best)}
+    assert {(r.id, r.r_kind, r["rank"], r.r_key, r.dist_m) for r in found} == expected and len(found) == len(expected)
