@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from talweg.functions.text import clean_state_name, highway_numbers, leading_code, lower_and, repair_glyphs, similarity, station_key
-from talweg.operators.graph import components
+from talweg.operators.graph import clusters
 from talweg.operators.relational import keep_first, keep_last, union_all
-from talweg.operators.spatial import self_pairs
 from talweg.operators.stages import cut
 
 
@@ -77,7 +76,7 @@ def match_stations(wanted: DataFrame, stations: DataFrame, key: str, hubs: tuple
 
 def plaza_clusters(points: DataFrame, key: str, radius: float = 150.0) -> DataFrame:
     """Toll plazas from points: those within the radius of each other, linked on, are one; first known name and ref, mean place, size."""
-    labels = components(points.select(F.col(key).alias("node")), self_pairs(points, key, radius).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    labels = clusters(points, key, radius)
     joined = points.join(labels, points[key] == labels["node"])
     first = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct(key, c)))[c].alias(c)
     return joined.groupBy("component").agg(first("name"), first("ref"), F.avg("lat").alias("lat"), F.avg("lon").alias("lon"), F.count("*").alias("n"))
