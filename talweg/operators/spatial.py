@@ -1,11 +1,13 @@
 """Spatial joins without an R-tree: both sides are dealt into grid cells, so that each join is an equi-join on the cell.
 
-Every join below shuffles by cell. Cells that many rows share are split by Spark's skew join; nothing is broadcast unless
-Spark finds it small.
+Every join below shuffles by cell. Cells that many rows share are split by their count or by Spark's skew join; nothing is
+broadcast unless Spark finds it small.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,6 +20,10 @@ def cell(x: Column, y: Column, size: float) -> list[Column]:
     return [F.floor(x / size).alias("cx"), F.floor(y / size).alias("cy")]
 
 
+#: Pairs that a task compares about, and pairs of a cell beyond which it is split.
+TASK_PAIRS, CELL_PAIRS = 20_000_000, 2_000_000
+
+
 def _around(df: DataFrame, size: float, reach: int = 1) -> DataFrame:
     """Each row once for every cell within reach of its own."""
     near = F.array(*[F.struct(F.lit(i).cast("long").alias("i"), F.lit(j).cast("long").alias("j")) for i in range(-reach, reach + 1) for j in range(-reach, reach + 1)])
@@ -29,8 +35,15 @@ def radius_join(left: DataFrame, right: DataFrame, radius: float) -> DataFrame:
     """Pairs (left.*, r.*, dist_m) within the radius, inclusive. Both have x and y; right's columns get the prefix r_."""
     near = _around(left, radius)
     far = right.select(*[F.col(c).alias(f"r_{c}") for c in right.columns], *cell(F.col("x"), F.col("y"), radius))
-    pairs = near.join(far, ["cx", "cy"]).withColumn("dist_m", planar_m(F.col("x"), F.col("y"), F.col("r_x"), F.col("r_y")))
-    return pairs.filter(F.col("dist_m") <= radius).drop("cx", "cy")
+    # the rows that meet in a cell are counted first: tasks are as many as the work asks for, and full cells are split
+    met = cut(_around(left.select("x", "y"), radius).groupBy("cx", "cy").agg(F.count("*").alias("n")).join(far.groupBy("cx", "cy").agg(F.count("*").alias("m")), ["cx", "cy"]).filter("cx IS NOT NULL AND cy IS NOT NULL"))
+    total = met.agg(F.sum(F.col("n") * F.col("m").cast("double"))).first()[0] or 0.0
+    tasks = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / TASK_PAIRS))
+    split = met.select("cx", "cy", F.least("n", F.ceil(F.col("n") * F.col("m").cast("double") / CELL_PAIRS)).cast("int").alias("__s")).filter("__s > 1")
+    near = near.join(split, ["cx", "cy"], "left").withColumn("__p", F.pmod(F.xxhash64(*left.columns), F.coalesce("__s", F.lit(1))).cast("int")).drop("__s")
+    far = far.join(split, ["cx", "cy"], "left").withColumn("__p", F.explode(F.sequence(F.lit(0), F.coalesce("__s", F.lit(1)) - 1))).drop("__s")
+    pairs = near.repartition(tasks, "cx", "cy", "__p").join(far, ["cx", "cy", "__p"]).withColumn("dist_m", planar_m(F.col("x"), F.col("y"), F.col("r_x"), F.col("r_y")))
+    return pairs.filter(F.col("dist_m") <= radius).drop("cx", "cy", "__p")
 
 
 def self_pairs(points: DataFrame, key: str, radius: float) -> DataFrame:
@@ -157,14 +170,22 @@ def distance_to_rings(x: Column, y: Column, rings: Column) -> Column:
 
 
 def nearest_segment(points: DataFrame, segments: DataFrame, key: str, order: str, reach: float) -> DataFrame:
-    """points with the nearest segment (ax, ay, bx, by) within reach: s_ columns and dist_m; ties by `order`."""
+    """points with the nearest segment (ax, ay, bx, by) within reach: s_ columns and dist_m; ties by `order`. Points at one place are searched once; `key` names a point."""
+    places = cut(points.filter(_placed()).select("x", "y").distinct())
+    x0, x1, y0, y1 = places.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    if x0 is None:
+        x0 = x1 = y0 = y1 = 0.0
+    # a segment farther away than reach from the box of all points is near none
+    near = segments.filter((F.least("ax", "bx") <= x1 + 2 * reach) & (F.greatest("ax", "bx") >= x0 - 2 * reach) & (F.least("ay", "by") <= y1 + 2 * reach) & (F.greatest("ay", "by") >= y0 - 2 * reach))
     low = lambda a, b: F.floor((F.least(a, b) - reach) / reach)
     high = lambda a, b: F.floor((F.greatest(a, b) + reach) / reach)
-    tiles = segments.withColumn("cx", F.explode(F.sequence(low("ax", "bx"), high("ax", "bx")))).withColumn("cy", F.explode(F.sequence(low("ay", "by"), high("ay", "by"))))
-    tiles = tiles.select("cx", "cy", *[F.col(c).alias(f"s_{c}") for c in segments.columns])
-    placed = points.withColumns({"cx": F.floor(F.col("x") / reach), "cy": F.floor(F.col("y") / reach)})
-    found = placed.join(tiles, ["cx", "cy"]).withColumn("dist_m", segment_m(F.col("x"), F.col("y"), F.col("s_ax"), F.col("s_ay"), F.col("s_bx"), F.col("s_by"))).filter(F.col("dist_m") <= reach)
-    return found.withColumn("__r", F.row_number().over(Window.partitionBy(key).orderBy("dist_m", f"s_{order}"))).filter("__r = 1").drop("__r", "cx", "cy")
+    tiles = near.withColumn("cx", F.explode(F.sequence(low("ax", "bx"), high("ax", "bx")))).withColumn("cy", F.explode(F.sequence(low("ay", "by"), high("ay", "by"))))
+    tiles = tiles.select("cx", "cy", F.struct(F.col(order).alias("order"), *[F.col(c).alias(f"s_{c}") for c in segments.columns]).alias("s"))
+    placed = places.withColumns({"cx": F.floor(F.col("x") / reach), "cy": F.floor(F.col("y") / reach)})
+    dist = segment_m(F.col("x"), F.col("y"), F.col("s.s_ax"), F.col("s.s_ay"), F.col("s.s_bx"), F.col("s.s_by"))
+    found = placed.join(tiles, ["cx", "cy"]).withColumn("dist_m", dist).filter(F.col("dist_m") <= reach)
+    best = found.groupBy("x", "y").agg(F.min_by("s", F.struct("dist_m", "s.order")).alias("s"), F.min("dist_m").alias("dist_m"))
+    return points.join(best, ["x", "y"]).select(*points.columns, *[F.col(f"s.s_{c}").alias(f"s_{c}") for c in segments.columns], "dist_m")
 
 
 def box_overlaps(left: DataFrame, right: DataFrame, size: float) -> DataFrame:

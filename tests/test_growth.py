@@ -80,3 +80,42 @@ def test_copies_are_searched_once_and_places_are_not_lost(spark, monkeypatch):
             best = sorted((math.hypot(x - rx, y - ry), key) for key, k, rx, ry in right if k == kind)[:2] if x is not None and x == x else [(None, None)]
             expected |= {(i, kind, n + 1 if key is not None else None, key, d) for n, (d, key) in enumerate(best)}
     assert {(r.id, r.r_kind, r["rank"], r.r_key, r.dist_m) for r in found} == expected and len(found) == len(expected)
+
+
+def _places(n):
+    return [(i, float(i * 37 % 23) * 9, float(i * 11 % 7) * 13) for i in range(n)]
+
+
+def test_clusters_link_cells_not_copies(spark):
+    rows = [*_places(150), (150, 900.0, 900.0), (151, 906.0, 908.0), (152, None, 1.0), (153, float("nan"), 1.0), (154, 900.0, 911.0)]
+    label = {i: i for i, _, _ in rows}
+    for _ in rows:
+        for i, x, y in rows:
+            label[i] = min([label[i], *(label[j] for j, a, b in rows if None not in (x, a) and math.hypot(x - a, y - b) <= 10.0)])
+    assert label[154] == 150 and len(set(label.values())) > 5
+    got = graph.clusters(spark.createDataFrame(rows, "id long, x double, y double"), "id", 10.0).collect()
+    assert {r.node: r.component for r in got} == label and len(got) == len(rows)
+
+
+def test_full_cells_are_split(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "TASK_PAIRS", 500, raising=False)
+    monkeypatch.setattr(spatial, "CELL_PAIRS", 50, raising=False)
+    rows = [*_places(120), (120, None, 1.0)]
+    df = spark.createDataFrame(rows, "id long, x double, y double")
+    found = spatial.radius_join(df, df, 30.0)
+    assert found.select("id").rdd.getNumPartitions() > 4
+    got = [(r.id, r.r_id) for r in found.collect()]
+    assert set(got) == {(i, j) for i, x, y in rows for j, a, b in rows if None not in (x, a) and math.hypot(x - a, y - b) <= 30.0} and len(got) == len(set(got))
+
+
+def test_segments_are_compared_with_places(spark):
+    points = [(i, float(i % 5), float(i % 3)) for i in range(90)] + [(90, None, 1.0), (91, 500.0, 2.0)]
+    lines = [(i, float(i % 4) * 3, i * 2.0 - 8, float(i % 4) * 3 + 2, i * 2.0 - 8) for i in range(12)]
+    found = spatial.nearest_segment(spark.createDataFrame(points, "id long, x double, y double"), spark.createDataFrame(lines, "line long, ax double, ay double, bx double, by double"), "id", "line", 4.0)
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+    expected = {}
+    for i, x, y in points:
+        near = [(math.hypot(max(ax - x, 0, x - bx), ay - y), n) for n, ax, ay, bx, _ in lines] if x is not None else []
+        if near and min(near)[0] <= 4.0:
+            expected[i] = min(near)
+    assert {r.id: (r.dist_m, r.s_line) for r in found.collect()} == expected
