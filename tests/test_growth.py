@@ -97,6 +97,49 @@ def test_clusters_link_cells_not_copies(spark):
     assert {r.node: r.component for r in got} == label and len(got) == len(rows)
 
 
+def _reach(nodes, links):
+    label = {n: n for n in nodes}
+    while True:
+        before = dict(label)
+        for u, v in links:
+            label[u] = label[v] = min(label[u], label[v])
+        if label == before:
+            return label
+
+
+def test_long_ways_are_contracted_in_few_rounds(spark, monkeypatch):
+    monkeypatch.setattr(graph, "BLOCK_LINKS", 300, raising=False)
+    calls, cut = [], graph.cut
+    monkeypatch.setattr(graph, "cut", lambda df: calls.append(1) or cut(df))
+    links = [(k, k + 1) for k in range(1500) if k % 500 != 499]
+    nodes, edges = spark.createDataFrame([(k,) for k in range(1502)], "node long"), spark.createDataFrame(links, "u long, v long")
+    got = graph.components(nodes, edges).collect()
+    assert {r.node: r.component for r in got} == {k: k // 500 * 500 if k < 1500 else k for k in range(1502)} and len(got) == 1502
+    assert len(calls) <= 8
+
+
+def test_blocks_of_any_links_give_the_components(spark, monkeypatch):
+    """Far numbers, so that blocks take little away; repeated links, loops, nulls and names; each block holds a few links."""
+    monkeypatch.setattr(graph, "BLOCK_LINKS", 25, raising=False)
+    links = [(k * 37 % 211, k * k * 53 % 197) for k in range(150)]
+    expected = _reach(range(211), links)
+    assert 5 < len(set(expected.values())) < 150
+    name = lambda k: f"é{k:03}"
+    for kind, f in (("long", int), ("string", name)):
+        nodes = spark.createDataFrame([(f(k),) for k in range(211)], f"node {kind}")
+        edges = spark.createDataFrame([*[(f(u), f(v)) for u, v in links for _ in range(2)], (f(3), None)], f"u {kind}, v {kind}")
+        got = graph.components(nodes, edges).collect()
+        assert {r.node: r.component for r in got} == {f(k): f(c) for k, c in expected.items()} and len(got) == 211
+
+
+def test_faults_of_a_bad_graph(spark):
+    nodes = spark.createDataFrame([(0, 0.0, 0.0), (1, 1000.0, 0.0), (2, 1000.0, 500.0)], "node long, x double, y double")
+    edges = spark.createDataFrame([(0, 1, 1.0, 0.1, False), (1, 1, 0.0, 0.1, False), (1, 2, 0.5, -1.0, True), (0, 2, 3.0, 0.1, False), (2, 9, 1.0, 0.1, False)], "u long, v long, km double, hours double, is_bridge boolean")
+    labels = spark.createDataFrame([(0, 0), (1, 0), (2, 2), (9, 2)], "node long, component long")
+    got = {r.fault: r.n for r in graph.graph_faults(nodes, edges, labels).collect()}
+    assert got == {"self_loop": 1, "bad_weight": 2, "wrong_km": 1, "long_bridge": 1, "split_component": 2, "unknown_node": 1}
+
+
 def test_full_cells_are_split(spark, monkeypatch):
     monkeypatch.setattr(spatial, "TASK_PAIRS", 500, raising=False)
     monkeypatch.setattr(spatial, "CELL_PAIRS", 50, raising=False)
