@@ -6,8 +6,8 @@ is a literal: an array addressed by hash, each token in one of two places, so th
 
 Words repeat, so each distinct word of the table is folded once. Rows are packed in their order into shards of bounded
 size; a shard holds its distinct words, and its texts as numbers of these words, and is dealt out compressed. It lists its
-words that are no tokens; the lists meet by word, where the distinct words are folded; the ids go back to the shards that
-have the word, and each shard puts the ids of its texts together. The pattern is matched once a text.
+words that are no tokens; the lists meet, packed, in buckets of words, where the distinct words are folded; the ids go back
+to the shards that have the word, and each shard puts the ids of its texts together. The pattern is matched once a text.
 A word of more than LONG_WORD bytes is merged with a heap instead, which gives the same ids in a time that hardly grows
 faster than its length.
 
@@ -25,6 +25,7 @@ import base64
 import heapq
 import json
 import re
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -37,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from talweg.llm import _common as c
+from talweg.llm._blobs import pack, unpack
 
 NONE = 2**31 - 1
 #: Bits of a pair's place, which stand below its rank: the least pair is that of lowest rank, the leftmost of them.
@@ -223,20 +225,65 @@ def _pack(text: str, keep: bool, pattern: str, shard_bytes: int) -> Callable:
     return pack
 
 
-def _ask(ranks: Broadcast) -> Callable:
-    """The words of each shard that are to be folded, with their numbers there."""
+def _closed(*parts: bytes) -> bytes:
+    """Byte strings as one, compressed: less than as an Arrow stream, which carries its schema."""
+    raw = np.array([len(parts), *map(len, parts)], "<i8").tobytes() + b"".join(parts)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 9).compress(raw, asbytes=True)
+
+
+def _opened(blob: bytes) -> list[bytes]:
+    raw = pa.Codec("zstd").decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
+    n = int(np.frombuffer(raw, "<i8", 1)[0])
+    ends = np.cumsum(np.frombuffer(raw, "<i8", n, 8)) + 8 * (n + 1)
+    return [raw[i:j] for i, j in zip([8 * (n + 1), *ends[:-1]], ends)]
+
+
+def _ends(sizes: np.ndarray) -> pa.Buffer:
+    return pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64))
+
+
+def _ask(ranks: Broadcast, buckets: int) -> Callable:
+    """The words of each shard that are to be folded, with their numbers there: one value for each bucket of words."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, blob in zip(batch["shard"], batch["words"]):
-                words = _read(blob)["word"].combine_chunks()
-                places = np.flatnonzero([_folded(w, ranks.value) for w in words.to_pylist()]).astype(np.int32)
-                ids = pa.array(np.full(len(places), shard.as_py(), np.int64))
-                yield pa.record_batch({"shard": ids, "place": pa.array(places), "word": words.take(pa.array(places))})
+                places, raws = [], []
+                for place, word in enumerate(_read(blob)["word"].to_pylist()):
+                    if _folded(word, ranks.value):
+                        places.append(place)
+                        raws.append(word.encode())
+                place = np.array(places, np.int64)
+                bucket = np.fromiter(map(zlib.crc32, raws), np.int64, len(raws)) % buckets
+                order = np.argsort(bucket, kind="stable")
+                for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+                    if len(own):
+                        words = [raws[i] for i in own.tolist()]
+                        asked = _closed(pack(place[own], True), pack(np.fromiter(map(len, words), np.int64, len(words))), b"".join(words))
+                        yield pa.record_batch({"bucket": pa.array([int(bucket[own[0]])], pa.int32()), "shard": pa.array([shard.as_py()], pa.int64()), "asked": pa.array([asked], pa.large_binary())})
 
     return ask
 
 
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct words of one bucket, each with all that ask for it."""
+    words, shards, places = [], [], []
+    for batch in batches:
+        for shard, blob in zip(batch["shard"].to_pylist(), batch["asked"].to_pylist()):
+            place, sizes, text = _opened(blob)
+            places.append(unpack(place).astype(np.int32))
+            shards.append(np.full(len(places[-1]), shard, np.int64))
+            words.append(pa.LargeStringArray.from_buffers(len(places[-1]), _ends(unpack(sizes)), pa.py_buffer(text)))
+    if not words:
+        return
+    coded = pa.chunked_array(words).combine_chunks().dictionary_encode()
+    code = coded.indices.to_numpy()
+    order = np.argsort(code, kind="stable")
+    asked = pa.StructArray.from_arrays([pa.array(np.concatenate(x)[order]) for x in (shards, places)], ["shard", "place"])
+    by_word = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(code))]).astype(np.int32)), asked)
+    yield from pa.table({"word": coded.dictionary, "askers": by_word}).to_batches(max_chunksize=20_000)
+
+
 def _fill(out: str, ranks: Broadcast) -> Callable:
     """The rows of one shard, with the ids gathered from the answers to its words."""
 
@@ -336,13 +383,10 @@ class Codec:
         n = 1 + total // shard_bytes
         ranks = df.sparkSession.sparkContext.broadcast(self.by_bytes)
         packed = df.mapInArrow(_pack(text, keep, possessive(self.pattern), shard_bytes), SHARD_SCHEMA).repartition(n, "shard")
-        asked = packed.mapInArrow(_ask(ranks), "shard long, place int, word string")
-        asked = asked.filter("word IS NOT NULL AND shard IS NOT NULL").repartition(n, "word")
-        # place and shard are asked for only so that the words are taken from the one exchange that the join reads as well
-        words = asked.groupBy("word").agg(F.min("shard").alias("s"), F.min("place").alias("p")).filter("s IS NOT NULL AND p >= 0")
-        # a partition's distinct words are fewer than the rows that ask for them: they are hashed, and nothing is sorted
-        folded = words.select("word", self.fold(F.col("word")).alias("ids")).hint("shuffle_hash")
-        answers = asked.join(folded, "word").select("shard", "place", "ids")
+        # words meet in buckets of bounded size, as packed values: as rows they would take several times the disk
+        asked = packed.mapInArrow(_ask(ranks, n), "bucket int, shard long, asked binary").repartitionById(n, "bucket")
+        words = asked.mapInArrow(_distinct, "word string, askers array<struct<shard: bigint, place: int>>")
+        answers = words.select("askers", self.fold(F.col("word")).alias("ids")).select(F.explode("askers").alias("a"), "ids").select("a.shard", "a.place", "ids")
         fields = [f for f in df.schema.fields if keep or f.name != text]
         schema = StructType(fields).add(ids, ArrayType(IntegerType()))
         return packed.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(_fill(ids, ranks), schema)

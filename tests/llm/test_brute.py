@@ -8,6 +8,7 @@ import zipfile
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -231,6 +232,27 @@ def test_bpe_shards_of_odd_rows(spark):
         assert [r.ids for r in codec.encoded(df.filter("i < 3")).collect()] == [[], []]
 
 
+def test_words_are_exchanged_packed(spark):
+    """No row is exchanged for a word a shard asks for; each word meets all that ask for it, once."""
+    from types import SimpleNamespace
+
+    shards = {-7: ["b", "", "é" * 128, "zebra", "b" * 257, "q"], 2**62: ["zebra", "漢字", "b", "q"], 5: ["t"]}
+    blobs = [byte_bpe._blob(pa.table({"word": pa.array(x, pa.large_string())})) for x in shards.values()]
+    rows = pa.record_batch({"shard": pa.array(list(shards), pa.int64()), "words": pa.array(blobs, pa.large_binary())})
+    asked = list(byte_bpe._ask(SimpleNamespace(value={b"t": 0, b"q": 1}), 3)([rows]))
+    found = {}
+    for bucket in range(3):
+        for batch in byte_bpe._distinct(iter([x for x in asked if x["bucket"][0].as_py() == bucket])):
+            for word, askers in zip(batch["word"].to_pylist(), batch["askers"].to_pylist()):
+                assert word not in found
+                found[word] = sorted((x["shard"], x["place"]) for x in askers)
+    assert found == {"b": [(-7, 0), (2**62, 2)], "": [(-7, 1)], "é" * 128: [(-7, 2)], "zebra": [(-7, 3), (2**62, 0)], "漢字": [(2**62, 1)]}
+    assert list(byte_bpe._distinct(iter([]))) == []
+    codec = byte_bpe.Codec({bytes([i]): i for i in range(256)}, r"\w+|\W+")
+    plan = codec.encoded(spark.createDataFrame([("ab ba",)], "text string"))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(word" not in plan and "Exchange" in plan
+
+
 def test_possessive_patterns_match_alike():
     import public_tokenizers
     import regex
