@@ -2,7 +2,9 @@
 
 import math
 
-from talweg.operators import graph, resolve, spatial
+from pyspark.sql import functions as F
+
+from talweg.operators import graph, resolve, spatial, stages
 from talweg.plans import relational
 
 
@@ -162,3 +164,12 @@ def test_segments_are_compared_with_places(spark):
         if near and min(near)[0] <= 4.0:
             expected[i] = min(near)
     assert {r.id: (r.dist_m, r.s_line) for r in found.collect()} == expected
+
+
+def test_estimates_do_not_grow_over_rounds(spark):
+    rows = spark.createDataFrame([(k, "a" if k % 2 else None, [k]) for k in range(9)], "k long, s string, a array<long>")
+    df = stages.cut(rows)
+    for _ in range(12):
+        df = stages.cut(df.join(df.select("k", F.col("s").alias("t")), "k").select("k", "s", "a"))
+        assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 2**64
+    assert df.dtypes == rows.dtypes and sorted(df.collect()) == sorted(rows.collect())
