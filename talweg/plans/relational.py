@@ -131,9 +131,14 @@ def dedupe_keep_first(spark, sf):
 
 
 def dedupe_last(spark, sf):
-    """The line of the largest number of each order; of equal ones the first in the file, as an aggregate that reads it in order has it."""
+    """The part of the line of the largest number of each order, of the lines that have both; and the largest number of all.
+
+    Of equal numbers the first line of the file counts, as for an aggregate that reads it in order.
+    """
     lines = t.read(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    return r.keep_first(lines, ["l_orderkey"], F.desc("l_linenumber"), "__file", "__row").drop("__file", "__row")
+    whole = F.col("l_partkey").isNotNull() & F.col("l_linenumber").isNotNull()
+    most = lines.withColumns({"__part": F.when(whole, F.col("l_partkey")), "__most": F.max("l_linenumber").over(Window.partitionBy("l_orderkey"))})
+    return r.keep_first(most, ["l_orderkey"], F.desc(whole), F.desc("l_linenumber"), "__file", "__row").select("l_orderkey", F.col("__part").alias("l_partkey"), F.col("__most").alias("l_linenumber"))
 
 
 def duplicate_flags(spark, sf):

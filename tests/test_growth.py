@@ -2,6 +2,7 @@
 
 import math
 
+from oracle import compare
 from pyspark.sql import functions as F
 
 from talweg.operators import graph, resolve, spatial, stages
@@ -34,6 +35,12 @@ def test_of_equal_lines_the_first_of_the_file_stays(spark, tmp_path):
     assert got == {k: 1000 + k for k in range(500)}
 
 
+def test_lines_without_part_or_number_do_not_count_as_last(spark, tmp_path):
+    rows = [(1, None, 3), (1, 5, 2), (1, 6, 1), (2, 7, None), (3, None, None), (4, 8, None), (4, None, 1), (None, 3, 1), (None, 4, 1), (5, 9, 4), (5, 10, 4), (6, None, 7), (6, 11, 7)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_linenumber int").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    compare(relational.dedupe_last, relational.ORACLE_SQL["dedupe_last"], spark, str(tmp_path))
+
+
 def test_ports_are_found_without_pairs(spark):
     wanted = ["Port 1", "port", "", None, "1", "Great Port-12 of all", "x", "ports", "aaa"]
     ports = ["Port-1", "port-1 ", "Port 12", "", None, "--", "aaaa", "aa", "Port-1"]
